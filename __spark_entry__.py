@@ -1066,29 +1066,26 @@ def parse_event_props(spark, sf_dir):
 @query(
     "coverage_missing",
     """
-    SELECT CAST(c_custkey AS VARCHAR) AS table_name, 'missing' AS status FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-    UNION ALL
-    SELECT DISTINCT CAST(o_custkey AS VARCHAR), 'extra' FROM orders
-    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+    WITH s AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem WHERE l_linestatus = 'O'),
+    t AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem WHERE l_linestatus <> 'O')
+    SELECT coalesce(s.k, t.k) AS table_name, CASE WHEN t.k IS NULL THEN 'missing' ELSE 'extra' END AS status
+    FROM s FULL JOIN t ON s.k = t.k WHERE s.k IS NULL OR t.k IS NULL
     """,
 )
 def coverage_missing(spark, sf_dir):
-    source = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("table_name"))
-    target = _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("table_name"))
-    return catalog.coverage(source, target)
+    names = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("table_name"), (F.col("l_linestatus") == "O").alias("open")
+    )
+    return catalog.coverage(names.filter("open"), names.filter("NOT open"))
 
 
 @query(
-    "missing_parts",
-    """
-    SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
-    """,
+    "missing_orders",
+    "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
 )
-def missing_parts(spark, sf_dir):
-    parts = _table(spark, sf_dir, "part").select("p_partkey")
-    returned = _table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_partkey")
-    return catalog.missing(parts, returned)
+def missing_orders(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    return catalog.missing(orders, _table(spark, sf_dir, "lineitem").select("l_orderkey"))
 
 
 TABLES = ["customer", "events", "lineitem", "orders", "part", "supplier"]

@@ -69,6 +69,15 @@ def successful_loads(ledger: DataFrame) -> DataFrame:
     return load_status(ledger).filter(F.col("status") == SUCCESS).select(*LOAD_KEYS)
 
 
+def finished_loads(
+    ledger: DataFrame, days: Sequence[dt.date], always: Sequence[str] = ()
+) -> set[tuple[dt.date, str, str]]:
+    """Successful loads of some days (and of the ``always`` tables on any day) as a
+    set: a few rows per table, read once to steer a run."""
+    rows = ledger.filter(F.col("ref_date").isin(*days) | F.col("table_name").isin(*always))
+    return {tuple(r) for r in successful_loads(rows).collect()}
+
+
 def pending_loads(ledger: DataFrame, wanted: DataFrame, force: bool = False) -> DataFrame:
     """Loads ``(ref_date, schema_name, table_name)`` not yet done; all with ``force``."""
     wanted = wanted.select(*LOAD_KEYS).distinct()

@@ -16,7 +16,7 @@ from ..operators.ledger import (
     FAILED,
     STARTED,
     SUCCESS,
-    already_loaded,
+    finished_loads,
     ledger_row,
     now,
     read_ledger,
@@ -121,8 +121,8 @@ def ingest_tables(
     Returns one ledger row per table tried.
     """
     day = dt.date.fromisoformat(str(ref_date))
-    ledger = read_ledger(spark, ledger_path(base))
-    todo = [s for s in specs if not already_loaded(ledger, day, s.schema or "", s.table, force)]
+    done = set() if force else finished_loads(read_ledger(spark, ledger_path(base)), [day])
+    todo = [s for s in specs if (day, s.schema or "", s.table) not in done]
 
     started = now()
 

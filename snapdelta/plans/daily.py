@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.catalog import coverage
-from ..operators.ledger import SUCCESS, already_loaded, read_ledger
+from ..operators.ledger import SUCCESS, finished_loads, read_ledger
 from ..sinks.ddl import catalog_to_ddl
 from .bronze import Reader, ingest_envelope, ingest_tables, ledger_path
 from .gold import GOLD_SCHEMA, GOLD_TABLE, build_gold, read_change_metrics
@@ -34,15 +34,15 @@ def run_day(
     new was loaded or ``force`` is set.
     """
     day = dt.date.fromisoformat(str(ref_date))
+    finished = finished_loads(read_ledger(spark, ledger_path(base)), [day])
     rows = ingest_tables(spark, reader, specs, base, day, ingest_envelope, force, parallel)
     failed = {(r["schema_name"], r["table_name"]) for r in rows if r["status"] != SUCCESS}
     tables = [s.full_name for s in specs if (s.schema or "", s.table) not in failed]
     changed = len(rows) > len(failed)
-    ledger = read_ledger(spark, ledger_path(base))
-    if tables and (changed or not already_loaded(ledger, day, SILVER_SCHEMA, STATE_TABLE)):
+    if tables and (changed or (day, SILVER_SCHEMA, STATE_TABLE) not in finished):
         process_silver(spark, base, day, tables, unique_keys)
         changed = True
-    if tables and (changed or not already_loaded(ledger, day, GOLD_SCHEMA, GOLD_TABLE)):
+    if tables and (changed or (day, GOLD_SCHEMA, GOLD_TABLE) not in finished):
         build_gold(spark, base, day)
     return read_change_metrics(spark, base, day)
 

@@ -13,7 +13,7 @@ from ..functions import add_row_hash, as_date, clean_strings
 from ..operators.aggregates import deduplicate
 from ..operators.delta import attach_payload, detect_delta
 from ..operators.envelope import for_snapshot, parse_payload
-from ..operators.ledger import SUCCESS, ledger_row, now, read_ledger, record_ingestion, successful_loads
+from ..operators.ledger import SUCCESS, finished_loads, ledger_row, now, read_ledger, record_ingestion
 from ..operators.quality import validate_schema
 from ..operators.state import apply_delta, maintain_current_state
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, SNAPSHOT_RAW
@@ -106,14 +106,10 @@ def read_state(spark: SparkSession, base: str, state_date: str | dt.date) -> Dat
     return versions.filter(F.col("state_date") == as_date(state_date)).drop("state_date")
 
 
-def latest_state_date(spark: SparkSession, base: str, before: str | dt.date) -> dt.date | None:
+def latest_state_date(finished: set[tuple[dt.date, str, str]], before: dt.date) -> dt.date | None:
     """Day of the newest complete state version before ``before``, by the ledger."""
-    done = successful_loads(read_ledger(spark, ledger_path(base))).filter(
-        (F.col("table_name") == STATE_TABLE)
-        & (F.col("schema_name") == SILVER_SCHEMA)
-        & (F.col("ref_date") < as_date(before))
-    )
-    return done.agg(F.max("ref_date")).first()[0]
+    days = [d for d, schema, table in finished if (schema, table) == (SILVER_SCHEMA, STATE_TABLE) and d < before]
+    return max(days, default=None)
 
 
 def process_silver(
@@ -140,14 +136,15 @@ def process_silver(
     events = attach_payload(found, cur, prev).withColumn("detected_at", F.current_timestamp())
     overwrite_partition(align(events, DELTA_EVENTS), events_path(base), {"ref_date": day})
 
-    state_date = latest_state_date(spark, base, day)
+    finished = finished_loads(read_ledger(spark, ledger_path(base)), [previous_day], [STATE_TABLE])
+    state_date = latest_state_date(finished, day)
     if state_date is None:
         old = spark.createDataFrame([], CURRENT_STATE)
         state = maintain_current_state(old, cur, day, unique_keys=unique_keys)
     else:
         old = read_state(spark, base, state_date)
         mine, others = old.filter(F.col("table_name").isin(*tables)), old.filter(~F.col("table_name").isin(*tables))
-        if state_date == previous_day and _all_loaded(spark, base, previous_day, tables):
+        if state_date == previous_day and _all_loaded(finished, previous_day, tables):
             state = apply_delta(mine, for_snapshot(read_events(spark, base), day), day)
         else:
             state = maintain_current_state(mine, cur, day, unique_keys=unique_keys)
@@ -156,10 +153,6 @@ def process_silver(
     record_ingestion(spark, ledger_path(base), [ledger_row(day, SILVER_SCHEMA, STATE_TABLE, SUCCESS, started)])
 
 
-def _all_loaded(spark: SparkSession, base: str, day: dt.date, tables: Sequence[str]) -> bool:
+def _all_loaded(finished: set[tuple[dt.date, str, str]], day: dt.date, tables: Sequence[str]) -> bool:
     """Whether every table has a successful load of ``day``."""
-    loads = successful_loads(read_ledger(spark, ledger_path(base))).filter(F.col("ref_date") == as_date(day))
-    full = F.when(F.col("schema_name") == "", F.col("table_name")).otherwise(
-        F.concat_ws(".", "schema_name", "table_name")
-    )
-    return loads.filter(full.isin(*tables)).agg(F.count_distinct(full)).first()[0] == len(set(tables))
+    return set(tables) <= {f"{schema}.{table}" if schema else table for d, schema, table in finished if d == day}
