@@ -4,12 +4,11 @@ A snapshot has ``table_name, primary_key, row_hash`` and usually ``data``. The
 key decides what matches; ``table_name`` alone is never a shuffle key, so one
 huge table spreads over all partitions.
 
-Keys are meant to be unique but nothing enforces it. A snapshot is therefore
-reduced to one row per key (the newest load, then the greatest hash) before any
-join. That reduction combines on the map side, so a key held by a large share
-of the rows reaches the join as a single row, and the output never has more
-events than keys. ``unique_keys=True`` skips the reduction when the source
-guarantees its key.
+Keys are meant to be unique but nothing enforces it. Of several rows with one key
+the newest load counts, then the greatest hash. That choice is an aggregate,
+which combines on the map side: a key held by a large share of the rows leaves
+each task as a single row, and there are never more events than keys.
+``unique_keys=True`` skips the choice when the source guarantees its key.
 """
 
 from __future__ import annotations
@@ -36,6 +35,11 @@ EVENT_COLUMNS = [
 ]
 
 
+def _newest(snapshot: DataFrame, order_by: Sequence[str] = ("ingestion_timestamp",)) -> Column:
+    """What decides between rows of one key; ends with the hash itself."""
+    return F.struct(*[c for c in order_by if c in snapshot.columns], "row_hash")
+
+
 def one_row_per_key(
     snapshot: DataFrame,
     keys: Sequence[str] = KEYS,
@@ -44,23 +48,25 @@ def one_row_per_key(
 ) -> DataFrame:
     """``keys, row_hash, data`` with the newest row of each key.
 
-    One aggregate per value column, so Catalyst drops the payload when nothing
+    The payload is an aggregate of its own, so Catalyst drops it when nothing
     downstream reads it.
     """
     values = [c for c in ("row_hash", "data") if c in snapshot.columns]
     if unique_keys:
         return snapshot.select(*keys, *values)
-    order = [c for c in order_by if c in snapshot.columns]
-    if not order and values == ["row_hash"]:
-        return snapshot.groupBy(*keys).agg(F.max("row_hash").alias("row_hash"))
-    newest = F.struct(*order, "row_hash")
-    return snapshot.groupBy(*keys).agg(*[F.max_by(c, newest).alias(c) for c in values])
+    newest = _newest(snapshot, order_by)
+    aggs = [F.max(newest).getField("row_hash").alias("row_hash")]
+    if "data" in values:
+        aggs.append(F.max_by("data", newest).alias("data"))
+    return snapshot.groupBy(*keys).agg(*aggs)
+
+
+def _with_data(snapshot: DataFrame) -> DataFrame:
+    return snapshot if "data" in snapshot.columns else snapshot.withColumn("data", F.lit(None).cast("string"))
 
 
 def _side(snapshot: DataFrame, suffix: str, keys: Sequence[str], unique_keys: bool) -> DataFrame:
-    rows = one_row_per_key(snapshot, keys, unique_keys=unique_keys)
-    if "data" not in rows.columns:
-        rows = rows.withColumn("data", F.lit(None).cast("string"))
+    rows = _with_data(one_row_per_key(snapshot, keys, unique_keys=unique_keys))
     return rows.select(
         *keys,
         F.col("row_hash").alias(f"row_hash_{suffix}"),
@@ -69,16 +75,49 @@ def _side(snapshot: DataFrame, suffix: str, keys: Sequence[str], unique_keys: bo
     )
 
 
+def _compare_unique(after: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides of every key by a full outer join; each side shuffles once."""
+    return _side(after, "after", keys, True).join(_side(before, "before", keys, True), list(keys), "full_outer")
+
+
+def _compare_any(after: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides of every key by one aggregation of their union: the choice of the
+    newest row and the comparison share a single shuffle, and no join is left."""
+
+    def tagged(df: DataFrame, is_after: bool) -> DataFrame:
+        df = _with_data(df)
+        return df.select(*keys, _newest(df).alias("newest"), "data", F.lit(is_after).alias("is_after"))
+
+    def side(suffix: str, wanted: Column) -> list[Column]:
+        newest = F.when(wanted, F.col("newest"))
+        return [
+            F.max(newest).getField("row_hash").alias(f"row_hash_{suffix}"),
+            F.max_by("data", newest).alias(f"data_{suffix}"),
+            F.max(newest).isNotNull().alias(f"in_{suffix}"),
+        ]
+
+    rows = _align_newest(tagged(after, True), tagged(before, False))
+    is_after = F.col("is_after")
+    return rows.groupBy(*keys).agg(*side("after", is_after), *side("before", ~is_after))
+
+
+def _align_newest(after: DataFrame, before: DataFrame) -> DataFrame:
+    if after.schema["newest"].dataType.names != before.schema["newest"].dataType.names:
+        # Only one snapshot knows when it was loaded; within it the hash decides too.
+        hash_only = F.struct(F.col("newest.row_hash").alias("row_hash"))
+        after, before = (df.withColumn("newest", hash_only) for df in (after, before))
+    return after.unionByName(before)
+
+
 def _compare(after: DataFrame, before: DataFrame, keys: Sequence[str], unique_keys: bool) -> DataFrame:
-    joined = _side(after, "after", keys, unique_keys).join(
-        _side(before, "before", keys, unique_keys), list(keys), "full_outer"
-    )
+    sides = (_compare_unique if unique_keys else _compare_any)(after, before, keys)
+    in_after, in_before = (F.coalesce(c, F.lit(False)) for c in ("in_after", "in_before"))
     operation = (
-        F.when(F.col("in_before").isNull(), "INSERT")
-        .when(F.col("in_after").isNull(), "DELETE")
+        F.when(~in_before, "INSERT")
+        .when(~in_after, "DELETE")
         .when(hash_changed("row_hash_before", "row_hash_after"), "UPDATE")
     )
-    return joined.withColumn("operation_type", operation).filter(F.col("operation_type").isNotNull())
+    return sides.withColumn("operation_type", operation).filter(F.col("operation_type").isNotNull())
 
 
 def _events(df: DataFrame, ref_date: Column | None = None) -> DataFrame:
@@ -91,11 +130,10 @@ def _events(df: DataFrame, ref_date: Column | None = None) -> DataFrame:
 def detect_delta(
     cur: DataFrame, prev: DataFrame, ref_date: str | dt.date, unique_keys: bool = False
 ) -> DataFrame:
-    """Insert, update and delete events of one day in a single full outer join.
+    """Insert, update and delete events of one day; each snapshot is shuffled once.
 
-    Each snapshot is shuffled once; the reduction per key and the join share that
-    partitioning. Drop ``data`` from both inputs (or from the result) to compare
-    keys and hashes only, and see :func:`attach_payload`.
+    Drop ``data`` from both inputs (or from the result) to compare keys and hashes
+    only, and see :func:`attach_payload`.
     """
     return _events(_compare(cur, prev, KEYS, unique_keys), as_date(ref_date))
 

@@ -32,8 +32,14 @@ class Contract:
     schema: Mapping[str, str] = field(default_factory=dict)
 
 
-def _spark_type(name: str) -> str:
-    return CONFIG_TYPES.get(name.lower(), name.lower())
+# Forms Spark accepts as text of a number, blanks around it included.
+INTEGER_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+DECIMAL_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[\x00-\x20]*$"
+
+
+def _data_type(name: str) -> T.DataType:
+    """Spark type of a name used in table configs."""
+    return T.StructType.fromDDL(f"c {CONFIG_TYPES.get(name.lower(), name.lower())}")["c"].dataType
 
 
 def _hours_old(ts_col: str, as_of: str | dt.datetime) -> Column:
@@ -41,8 +47,15 @@ def _hours_old(ts_col: str, as_of: str | dt.datetime) -> Column:
     return (F.lit(str(as_of)).cast("timestamp").cast("double") - latest) / 3600.0
 
 
-def _unparsable(name: str, type_name: str) -> Column:
-    return F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(_spark_type(type_name)).isNull())
+def _unparsable(df: DataFrame, name: str, type_name: str) -> Column:
+    """Number of values that cannot be cast. A failing cast of text to a number costs
+    an exception per value, so text that cannot be one is told by its form."""
+    c, wanted = F.col(name), _data_type(type_name)
+    failed = c.try_cast(wanted).isNull()
+    if isinstance(df.schema[name].dataType, T.StringType) and isinstance(wanted, T.IntegralType | T.DecimalType):
+        form = INTEGER_TEXT if isinstance(wanted, T.IntegralType) else DECIMAL_TEXT
+        failed = F.when(c.rlike(form), failed).otherwise(True)
+    return F.count_if(c.isNotNull() & failed)
 
 
 def _check(check: str, actual: Column, expected: float, passed: Column) -> Column:
@@ -89,7 +102,7 @@ def run_contract(df: DataFrame, contract: Contract, as_of: str | dt.datetime) ->
     present = {c.lower() for c in df.columns}
     for i, (name, type_name) in enumerate(contract.schema.items()):
         if name.lower() in present:
-            aggs.append(_unparsable(name, type_name).alias(f"bad_{i}"))
+            aggs.append(_unparsable(df, name, type_name).alias(f"bad_{i}"))
             bad = F.col(f"bad_{i}")
         else:
             bad = F.col("rows")
@@ -133,9 +146,9 @@ def validate_schema(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     aggs, rows = [], []
     for i, (name, type_name) in enumerate(expected.items()):
         found = actual.get(name.lower())
-        wanted = T.StructType.fromDDL(f"c {_spark_type(type_name)}")["c"].dataType
+        wanted = _data_type(type_name)
         if found is not None:
-            aggs.append(_unparsable(found.name, type_name).alias(f"bad_{i}"))
+            aggs.append(_unparsable(df, found.name, type_name).alias(f"bad_{i}"))
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),

@@ -157,3 +157,11 @@ def test_union_events_fills_missing_columns(snap):
     a = snap([("1", "a", "b")]).select("table_name", "primary_key")
     b = snap([("2", "a", "b")]).select("table_name", "primary_key", "row_hash")
     assert delta.union_events(a, b).columns == ["table_name", "primary_key", "row_hash"]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_missing_hash_is_a_value_not_an_absence(spark, unique):
+    schema = "table_name STRING, primary_key STRING, row_hash STRING"
+    cur = spark.createDataFrame([("t", "1", None), ("t", "2", "h"), ("t", "3", None)], schema)
+    prev = spark.createDataFrame([("t", "1", None), ("t", "2", None)], schema)
+    assert ops(delta.detect_delta(cur, prev, DAY, unique)) == [("INSERT", "3"), ("UPDATE", "2")]

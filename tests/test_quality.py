@@ -67,3 +67,11 @@ def test_retention_prunes_partitions(spark, tmp_path):
         "d").parquet(path)
     plan = Q.retained(spark.read.parquet(path), "d", "2024-01-10", 3)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan
+
+
+def test_unparsable_text_agrees_with_casting(spark):
+    texts = ["1", " 7 ", "+3", "-4", "1.5", ".5", "5.", "1e3", "", " ", "abc", "12a", "99999999999", "NaN", None, "\t8\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for kind in ("int", "bigint", "decimal(9,2)", "double", "date", "boolean"):
+        want = df.filter(F.col("t").isNotNull() & F.col("t").try_cast(kind).isNull()).count()
+        assert Q.validate_schema(df, {"t": kind}).first().invalid_count == want, kind
