@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import as_date
-from ..schemas import INGESTION_CONTROL, struct_of
+from ..schemas import INGESTION_CONTROL, RUN_METRICS, struct_of
 from ..session import path_exists
 from .state import latest_by_key
 
@@ -43,19 +45,60 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def _append(spark: SparkSession, path: str, ddl: str, rows: Sequence[Mapping]) -> None:
+    schema = struct_of(ddl)
+    table = pa.Table.from_pylist([dict(r) for r in rows], schema=to_arrow_schema(schema))
+    spark.createDataFrame(table, schema).write.mode("append").parquet(path)
+
+
+def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    schema = struct_of(ddl)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def record_ingestion(spark: SparkSession, ledger_path: str, rows: Sequence[Mapping]) -> None:
     """Append ledger rows, one per load step; columns left out are NULL."""
-    schema = struct_of(INGESTION_CONTROL)
-    values = [tuple(row.get(c) for c in schema.names) for row in rows]
-    spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(ledger_path)
+    _append(spark, ledger_path, INGESTION_CONTROL, rows)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     """The ledger, empty if nothing was recorded yet."""
-    schema = struct_of(INGESTION_CONTROL)
-    if not path_exists(spark, ledger_path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(ledger_path)
+    return _read(spark, ledger_path, INGESTION_CONTROL)
+
+
+def run_row(
+    domain: str,
+    layer: str,
+    started: dt.datetime,
+    rows_processed: int = 0,
+    rows_failed: int = 0,
+    errors: Sequence[str] = (),
+    status: str | None = None,
+) -> dict:
+    """Metrics of a run that ends now; it is an ``error`` if it had any, unless told otherwise."""
+    ended = now()
+    return {
+        "domain": domain,
+        "layer": layer,
+        "start_time": started,
+        "end_time": ended,
+        "status": status or ("error" if errors else "success"),
+        "rows_processed": rows_processed,
+        "rows_failed": rows_failed,
+        "errors": [{"timestamp": ended, "error": e} for e in errors],
+        "duration_seconds": (ended - started).total_seconds(),
+    }
+
+
+def record_runs(spark: SparkSession, path: str, rows: Sequence[Mapping]) -> None:
+    _append(spark, path, RUN_METRICS, rows)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded run metrics, empty if there are none yet."""
+    return _read(spark, path, RUN_METRICS)
 
 
 def load_status(ledger: DataFrame) -> DataFrame:

@@ -37,6 +37,10 @@ def ledger_path(base: str) -> str:
     return f"{base.rstrip('/')}/control/ingestion_control"
 
 
+def runs_path(base: str) -> str:
+    return f"{base.rstrip('/')}/control/run_metrics"
+
+
 def snapshot_path(base: str) -> str:
     return f"{base.rstrip('/')}/bronze/snapshot_raw"
 
@@ -52,7 +56,7 @@ def jdbc_reader(source: JdbcSource) -> Reader:
     return read
 
 
-def _write_counted(df: DataFrame, name: str, write: Callable[[DataFrame], object]) -> int:
+def write_counted(df: DataFrame, name: str, write: Callable[[DataFrame], object]) -> int:
     """Write and count in one pass over the source."""
     counted, observation = observed_count(df, name)
     write(counted)
@@ -66,7 +70,7 @@ def ingest_table(reader: Reader, spec: TableSpec, base: str, ref_date: str | dt.
     """
     df = with_ingestion_metadata(reader(spec), spec.source_type, spec.full_name, ref_date)
     path = layer_path(base, "bronze", spec.source_type, spec.table.lower())
-    return _write_counted(
+    return write_counted(
         df, f"ingest_{spec.name}", lambda d: overwrite_partition(d, path, {"reference_date": str(ref_date)})
     )
 
@@ -77,7 +81,7 @@ def ingest_envelope(
     """One table's snapshot of a day as key, hash and JSON payload; returns its rows."""
     rows = to_envelope(reader(spec), spec.full_name, spec.primary_keys, ref_date, null_safe)
     values = {"ref_date": str(ref_date), "table_name": spec.full_name}
-    return _write_counted(
+    return write_counted(
         rows, f"envelope_{spec.name}", lambda d: overwrite_partition(d, snapshot_path(base), values)
     )
 
@@ -101,7 +105,7 @@ def load_envelope(
     if target is None:
         return ingest_envelope(lambda _: business, spec, base, ref_date)
     rows = to_envelope(business, spec.full_name, spec.primary_keys, ref_date)
-    return _write_counted(rows, f"load_{spec.name}", lambda d: write_jdbc(d, target, target_table, chunk_rows))
+    return write_counted(rows, f"load_{spec.name}", lambda d: write_jdbc(d, target, target_table, chunk_rows))
 
 
 def ingest_tables(
@@ -164,4 +168,4 @@ def copy_table(
     if create is not None:
         create(schema_to_ddl(build_schema(definition), ddl_table, order_by))
     rows = with_snapshot_hash(read_declared(source, query, definition, **ranges), snapshot_date)
-    return _write_counted(rows, f"copy_{ddl_table.replace('.', '_')}", write)
+    return write_counted(rows, f"copy_{ddl_table.replace('.', '_')}", write)

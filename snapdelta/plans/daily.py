@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.catalog import coverage
-from ..operators.ledger import SUCCESS, finished_loads, read_ledger
+from ..operators.ledger import SUCCESS, finished_loads, now, read_ledger, record_runs, run_row
 from ..sinks.ddl import catalog_to_ddl
-from .bronze import Reader, ingest_envelope, ingest_tables, ledger_path
+from .bronze import Reader, ingest_envelope, ingest_tables, ledger_path, runs_path
 from .gold import GOLD_SCHEMA, GOLD_TABLE, build_gold, read_change_metrics
 from .silver import SILVER_SCHEMA, STATE_TABLE, process_silver
 from .specs import TableSpec
@@ -25,25 +25,36 @@ def run_day(
     force: bool = False,
     parallel: int = 4,
     unique_keys: bool = False,
+    domain: str = "default",
 ) -> DataFrame:
     """Load all tables, derive events and state, write the metrics; returns the
     day's change metrics.
 
     Only tables whose load succeeded take part. Repeating a day replaces its
     partitions; steps the ledger shows as done are not repeated unless something
-    new was loaded or ``force`` is set.
+    new was loaded or ``force`` is set. Each layer that ran leaves a row of run
+    metrics.
     """
     day = dt.date.fromisoformat(str(ref_date))
+    runs, started = [], now()
     finished = finished_loads(read_ledger(spark, ledger_path(base)), [day])
     rows = ingest_tables(spark, reader, specs, base, day, ingest_envelope, force, parallel)
     failed = {(r["schema_name"], r["table_name"]) for r in rows if r["status"] != SUCCESS}
     tables = [s.full_name for s in specs if (s.schema or "", s.table) not in failed]
     changed = len(rows) > len(failed)
+    if rows:
+        errors = [f"{r['table_name']}: {r['error_message']}" for r in rows if r["status"] != SUCCESS]
+        runs.append(run_row(domain, "bronze", started, sum(r["row_count"] or 0 for r in rows), errors=errors))
     if tables and (changed or (day, SILVER_SCHEMA, STATE_TABLE) not in finished):
-        process_silver(spark, base, day, tables, unique_keys)
+        started = now()
+        n = process_silver(spark, base, day, tables, unique_keys)
+        runs.append(run_row(domain, "silver", started, n))
         changed = True
     if tables and (changed or (day, GOLD_SCHEMA, GOLD_TABLE) not in finished):
-        build_gold(spark, base, day)
+        started = now()
+        runs.append(run_row(domain, "gold", started, build_gold(spark, base, day)))
+    if runs:
+        record_runs(spark, runs_path(base), runs)
     return read_change_metrics(spark, base, day)
 
 

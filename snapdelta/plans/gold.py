@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.envelope import for_snapshot
 from ..operators.ledger import SUCCESS, ledger_row, now, record_ingestion
-from ..operators.metrics import daily_change_metrics, data_quality_metrics, historical_trends
+from ..operators.metrics import aggregate_spec, daily_change_metrics, data_quality_metrics, historical_trends
 from ..schemas import DAILY_CHANGE_METRICS, DATA_QUALITY_METRICS
 from ..sinks.layers import align, overwrite_partition
-from .bronze import ledger_path
+from .bronze import ledger_path, write_counted
 from .silver import read_events, read_snapshots, read_state
 
 GOLD_SCHEMA = "gold"
@@ -23,19 +24,31 @@ def gold_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/gold/{table}"
 
 
-def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> None:
-    """Write both metric tables of a day; each replaces the day's partition."""
+def metric_from_config(config: Mapping, name: str, df: DataFrame) -> DataFrame:
+    """A metric declared under ``gold_metrics``: its groups and its aggregates."""
+    spec = config["gold_metrics"][name]["aggregations"]
+    return aggregate_spec(df, spec["group_by"], spec["metrics"])
+
+
+def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> int:
+    """Write both metric tables of a day; each replaces the day's partition. Returns
+    the rows written."""
     started = now()
     day = dt.date.fromisoformat(str(ref_date))
     changes = daily_change_metrics(read_events(spark, base), read_state(spark, base, day), day)
     quality = data_quality_metrics(read_snapshots(spark, base), day)
+    written = 0
     for table, rows, schema in (
         ("daily_change_metrics", changes, DAILY_CHANGE_METRICS),
         ("data_quality_metrics", quality, DATA_QUALITY_METRICS),
     ):
         stamped = rows.withColumn("calculated_at", F.current_timestamp())
-        overwrite_partition(align(stamped, schema).coalesce(1), gold_path(base, table), {"ref_date": day})
+        path = gold_path(base, table)
+        written += write_counted(
+            align(stamped, schema), table, lambda d, p=path: overwrite_partition(d, p, {"ref_date": day})
+        )
     record_ingestion(spark, ledger_path(base), [ledger_row(day, GOLD_SCHEMA, GOLD_TABLE, SUCCESS, started)])
+    return written
 
 
 def read_change_metrics(spark: SparkSession, base: str, ref_date: str | dt.date | None = None) -> DataFrame:

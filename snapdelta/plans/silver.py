@@ -18,8 +18,9 @@ from ..operators.quality import validate_schema
 from ..operators.state import apply_delta, maintain_current_state
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, SNAPSHOT_RAW
 from ..sinks.layers import align, overwrite_partition
-from ..sources.tables import stage
-from .bronze import ledger_path, snapshot_path
+from ..session import delete_path, new_path
+from ..sources.tables import layer_path, read_layer, stage
+from .bronze import ledger_path, snapshot_path, write_counted
 
 SILVER_SCHEMA = "silver"
 STATE_TABLE = "current_state"
@@ -84,6 +85,23 @@ def typed_silver(
     return deduplicate(rows, key, ["ingestion_timestamp", "row_hash"]).drop("primary_key")
 
 
+def write_silver_day(
+    spark: SparkSession,
+    base: str,
+    source: str,
+    entity: str,
+    ref_date: str | dt.date,
+    exclude: Iterable[str] = BRONZE_METADATA,
+) -> int:
+    """Hash and deduplicate one entity's bronze rows of a day into the silver layer;
+    returns the rows kept. A rerun replaces the day."""
+    rows = silver_dedupe(read_layer(spark, base, "bronze", source, entity, ref_date), exclude=exclude)
+    path = layer_path(base, "silver", source, entity)
+    return write_counted(
+        rows, f"silver_{entity}", lambda d: overwrite_partition(d, path, {"reference_date": str(ref_date)})
+    )
+
+
 def read_snapshots(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(SNAPSHOT_RAW).parquet(snapshot_path(base))
 
@@ -118,8 +136,9 @@ def process_silver(
     ref_date: str | dt.date,
     tables: Sequence[str],
     unique_keys: bool = False,
-) -> None:
-    """Events and the next state version of one day, for all ``tables`` at once.
+) -> int:
+    """Events and the next state version of one day, for all ``tables`` at once;
+    returns the number of events.
 
     Hashes are compared without payloads; the events found are written, and only
     their payloads are fetched. Tables not listed (not loaded that day) raise no
@@ -132,9 +151,13 @@ def process_silver(
     snapshots = read_snapshots(spark, base).filter(F.col("table_name").isin(*tables))
     cur, prev = for_snapshot(snapshots, day), for_snapshot(snapshots, previous_day)
 
-    found = stage(detect_delta(cur.drop("data"), prev.drop("data"), day, unique_keys))
+    staged = new_path(spark, "events-found")
+    found = stage(detect_delta(cur.drop("data"), prev.drop("data"), day, unique_keys), staged)
     events = attach_payload(found, cur, prev).withColumn("detected_at", F.current_timestamp())
-    overwrite_partition(align(events, DELTA_EVENTS), events_path(base), {"ref_date": day})
+    n_events = write_counted(
+        align(events, DELTA_EVENTS), "events", lambda d: overwrite_partition(d, events_path(base), {"ref_date": day})
+    )
+    delete_path(spark, staged)
 
     finished = finished_loads(read_ledger(spark, ledger_path(base)), [previous_day], [STATE_TABLE])
     state_date = latest_state_date(finished, day)
@@ -151,6 +174,7 @@ def process_silver(
         state = state.unionByName(others)
     overwrite_partition(align(state, CURRENT_STATE), state_path(base), {"state_date": day})
     record_ingestion(spark, ledger_path(base), [ledger_row(day, SILVER_SCHEMA, STATE_TABLE, SUCCESS, started)])
+    return n_events
 
 
 def _all_loaded(finished: set[tuple[dt.date, str, str]], day: dt.date, tables: Sequence[str]) -> bool:

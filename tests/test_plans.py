@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapdelta.operators.envelope import to_envelope
+from snapdelta.operators.ledger import read_runs, run_report
 from snapdelta.plans import bronze, daily, gold, silver
 from snapdelta.plans.specs import TableSpec, load_specs, select_specs, transformation_steps
 from snapdelta.sources.jdbc import JdbcSource
@@ -103,6 +104,13 @@ def test_days(spark, tmp_path, rows):
     quality = gold.read_quality_metrics(spark, base, D3)
     assert rows(quality, "table_name", "total_records", "quality_score") == [("ITEMS", 1, 100.0), ("SALES.ORDERS", 2, 100.0)]
     assert [str(r.ref_date) for r in gold.trends(spark, base, 2).collect()] == ["2024-01-03", "2024-01-02"]
+    runs = read_runs(spark, bronze.runs_path(base))
+    failed = runs.filter("status = 'error'").collect()
+    assert failed and all(r.layer == "bronze" and "source is down" in r.errors[0].error for r in failed)
+    report = run_report(runs, {"bronze": 2, "silver": 2, "gold": 1})
+    # Four runs changed something after the first; the one that found nothing to do left no row.
+    assert rows(report, "layer", "runs", "rows_failed", "within_sla") == [
+        ("bronze", 5, 0, True), ("gold", 5, 0, True), ("silver", 5, 0, True)]
 
 
 def test_missed_day(spark, tmp_path, rows):
@@ -175,3 +183,19 @@ def test_ddl_for_missing(spark, rows):
 def test_envelope_of_several_days(spark, rows):
     df = spark.createDataFrame([("2024-01-01", 1)], "d STRING, id INT").select(F.col("d").cast("date").alias("ref_date"), "id")
     assert rows(to_envelope(df, "t", ["id"], F.col("ref_date")), "ref_date", "primary_key", "data") == [(D1, "1", '{"id":1}')]
+
+
+def test_silver_day_is_repeatable(spark, tmp_path, rows):
+    base = str(tmp_path)
+    read = reader({"ORDERS": orders(spark, [(1, "a"), (1, "a"), (2, "b")])})
+    bronze.ingest_tables(spark, read, SPECS[:1], base, D1)
+    for _ in range(2):
+        assert silver.write_silver_day(spark, base, "files", "orders", D1) == 2
+    got = read_layer(spark, base, "silver", "files", "orders", D1)
+    assert rows(got, "id", "v") == [(1, "a"), (2, "b")] and "row_hash" in got.columns
+
+
+def test_metric_from_config(spark, rows):
+    config = {"gold_metrics": {"by_v": {"aggregations": {"group_by": ["v"], "metrics": {"id": ["sum", "countDistinct"]}}}}}
+    df = orders(spark, [(1, "a"), (1, "a"), (2, "b")])
+    assert rows(gold.metric_from_config(config, "by_v", df)) == [("a", 2, 1), ("b", 2, 1)]
