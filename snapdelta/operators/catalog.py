@@ -61,8 +61,8 @@ def table_counts(tables: Mapping[str, DataFrame], owner: str, analyzed_at: Colum
 
 
 def missing(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that ``right`` lacks."""
-    return left.subtract(right)
+    """Distinct rows of ``left`` that ``right`` lacks. Copies combine before the join."""
+    return left.distinct().subtract(right.distinct())
 
 
 def coverage(source: DataFrame, target: DataFrame, name_col: str = "table_name") -> DataFrame:

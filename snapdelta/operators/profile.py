@@ -12,28 +12,39 @@ from .catalog import list_columns
 from .envelope import numeric_columns
 from .metrics import mean_of
 
-STATISTICS = ["p50", "mean", "std", "min", "max"]
+STATISTICS = ("p50", "mean", "std", "min", "max")
 
 
-def column_statistics(df: DataFrame, stats_cols: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
-    """One row with ``{c}_p50, {c}_mean, {c}_std, {c}_min, {c}_max`` and ``row_count``.
+def column_statistics(
+    df: DataFrame,
+    stats_cols: Sequence[str] | None = None,
+    accuracy: int = 10000,
+    statistics: Sequence[str] = STATISTICS,
+) -> DataFrame:
+    """One row with ``row_count`` and ``{c}_p50, {c}_mean, {c}_std, {c}_min, {c}_max``.
 
     All statistics in one pass. The median is approximate: ``accuracy`` bounds its
-    rank error by ``1/accuracy`` and its memory per partition. The deviation is
-    the sample one.
+    rank error by ``1/accuracy`` and its memory per partition. It costs more than
+    the others together, so leave it out of ``statistics`` if it is not needed.
+    The deviation is the sample one.
     """
     cols = list(stats_cols) if stats_cols else numeric_columns(df)
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    aggs += [F.percentile_approx(c, 0.5, accuracy).alias(f"{c}_p50") for c in cols]
-    aggs += [mean_of(df, c).alias(f"{c}_mean") for c in cols]
-    aggs += [F.stddev(c).alias(f"{c}_std") for c in cols]
-    aggs += [F.min(c).alias(f"{c}_min") for c in cols]
-    aggs += [F.max(c).alias(f"{c}_max") for c in cols]
-    return df.agg(*aggs)
+    functions = {
+        "p50": lambda c: F.percentile_approx(c, 0.5, accuracy),
+        "mean": lambda c: mean_of(df, c),
+        "std": F.stddev,
+        "min": F.min,
+        "max": F.max,
+    }
+    wanted = [functions[s](c).alias(f"{c}_{s}") for s in statistics for c in cols]
+    return df.agg(F.count(F.lit(1)).alias("row_count"), *wanted)
 
 
 def column_statistics_long(
-    df: DataFrame, stats_cols: Sequence[str] | None = None, accuracy: int = 10000
+    df: DataFrame,
+    stats_cols: Sequence[str] | None = None,
+    accuracy: int = 10000,
+    statistics: Sequence[str] = STATISTICS,
 ) -> DataFrame:
     """The same statistics with one row per column, as doubles."""
     cols = list(stats_cols) if stats_cols else numeric_columns(df)
@@ -41,11 +52,11 @@ def column_statistics_long(
         F.struct(
             F.lit(c).alias("column_name"),
             F.col("row_count"),
-            *[F.col(f"{c}_{s}").cast("double").alias(s) for s in STATISTICS],
+            *[F.col(f"{c}_{s}").cast("double").alias(s) for s in statistics],
         )
         for c in cols
     ]
-    return column_statistics(df, cols, accuracy).select(F.inline(F.array(*entries)))
+    return column_statistics(df, cols, accuracy, statistics).select(F.inline(F.array(*entries)))
 
 
 def profile_table(

@@ -8,11 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.envelope import for_snapshot
 from ..operators.ledger import SUCCESS, ledger_row, now, record_ingestion
 from ..operators.metrics import aggregate_spec, daily_change_metrics, data_quality_metrics, historical_trends
 from ..schemas import DAILY_CHANGE_METRICS, DATA_QUALITY_METRICS
 from ..sinks.layers import align, overwrite_partition
+from ..sources.tables import read_partition
 from .bronze import ledger_path, write_counted
 from .silver import read_events, read_snapshots, read_state
 
@@ -35,8 +35,8 @@ def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> int:
     the rows written."""
     started = now()
     day = dt.date.fromisoformat(str(ref_date))
-    changes = daily_change_metrics(read_events(spark, base), read_state(spark, base, day), day)
-    quality = data_quality_metrics(read_snapshots(spark, base), day)
+    changes = daily_change_metrics(read_events(spark, base, day), read_state(spark, base, day), day)
+    quality = data_quality_metrics(read_snapshots(spark, base, day), day)
     written = 0
     for table, rows, schema in (
         ("daily_change_metrics", changes, DAILY_CHANGE_METRICS),
@@ -52,13 +52,18 @@ def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> int:
 
 
 def read_change_metrics(spark: SparkSession, base: str, ref_date: str | dt.date | None = None) -> DataFrame:
-    rows = spark.read.schema(DAILY_CHANGE_METRICS).parquet(gold_path(base, "daily_change_metrics"))
-    return rows if ref_date is None else for_snapshot(rows, ref_date)
+    return _read_gold(spark, gold_path(base, "daily_change_metrics"), DAILY_CHANGE_METRICS, ref_date)
 
 
 def read_quality_metrics(spark: SparkSession, base: str, ref_date: str | dt.date | None = None) -> DataFrame:
-    rows = spark.read.schema(DATA_QUALITY_METRICS).parquet(gold_path(base, "data_quality_metrics"))
-    return rows if ref_date is None else for_snapshot(rows, ref_date)
+    return _read_gold(spark, gold_path(base, "data_quality_metrics"), DATA_QUALITY_METRICS, ref_date)
+
+
+def _read_gold(spark: SparkSession, path: str, schema: str, ref_date: str | dt.date | None) -> DataFrame:
+    """A metric table, one day of it if given."""
+    if ref_date is None:
+        return spark.read.schema(schema).parquet(path)
+    return read_partition(spark, path, schema, {"ref_date": ref_date})
 
 
 def trends(spark: SparkSession, base: str, n: int = 50) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import add_row_hash, as_date, clean_strings
+from ..functions import add_row_hash, clean_strings
 from ..operators.aggregates import deduplicate
 from ..operators.delta import attach_payload, detect_delta
 from ..operators.envelope import for_snapshot, parse_payload
@@ -19,7 +19,7 @@ from ..operators.state import apply_delta, maintain_current_state
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, SNAPSHOT_RAW
 from ..sinks.layers import align, overwrite_partition
 from ..session import delete_path, new_path
-from ..sources.tables import layer_path, read_layer, stage
+from ..sources.tables import layer_path, read_layer, read_partition, stage
 from .bronze import ledger_path, snapshot_path, write_counted
 
 SILVER_SCHEMA = "silver"
@@ -102,8 +102,9 @@ def write_silver_day(
     )
 
 
-def read_snapshots(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(SNAPSHOT_RAW).parquet(snapshot_path(base))
+def read_snapshots(spark: SparkSession, base: str, ref_date: str | dt.date) -> DataFrame:
+    """All envelopes of a day."""
+    return read_partition(spark, snapshot_path(base), SNAPSHOT_RAW, {"ref_date": ref_date})
 
 
 def events_path(base: str) -> str:
@@ -114,14 +115,15 @@ def state_path(base: str) -> str:
     return f"{base.rstrip('/')}/silver/current_state"
 
 
-def read_events(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(DELTA_EVENTS).parquet(events_path(base))
+def read_events(spark: SparkSession, base: str, ref_date: str | dt.date) -> DataFrame:
+    """All events of a day."""
+    return read_partition(spark, events_path(base), DELTA_EVENTS, {"ref_date": ref_date})
 
 
 def read_state(spark: SparkSession, base: str, state_date: str | dt.date) -> DataFrame:
     """One stored state version."""
-    versions = spark.read.schema(f"{CURRENT_STATE}, state_date DATE").parquet(state_path(base))
-    return versions.filter(F.col("state_date") == as_date(state_date)).drop("state_date")
+    schema = f"{CURRENT_STATE}, state_date DATE"
+    return read_partition(spark, state_path(base), schema, {"state_date": state_date}).drop("state_date")
 
 
 def latest_state_date(finished: set[tuple[dt.date, str, str]], before: dt.date) -> dt.date | None:
@@ -148,8 +150,8 @@ def process_silver(
     started = now()
     day = dt.date.fromisoformat(str(ref_date))
     previous_day = day - dt.timedelta(days=1)
-    snapshots = read_snapshots(spark, base).filter(F.col("table_name").isin(*tables))
-    cur, prev = for_snapshot(snapshots, day), for_snapshot(snapshots, previous_day)
+    listed = F.col("table_name").isin(*tables)
+    cur, prev = (read_snapshots(spark, base, d).filter(listed) for d in (day, previous_day))
 
     staged = new_path(spark, "events-found")
     found = stage(detect_delta(cur.drop("data"), prev.drop("data"), day, unique_keys), staged)
@@ -166,9 +168,9 @@ def process_silver(
         state = maintain_current_state(old, cur, day, unique_keys=unique_keys)
     else:
         old = read_state(spark, base, state_date)
-        mine, others = old.filter(F.col("table_name").isin(*tables)), old.filter(~F.col("table_name").isin(*tables))
+        mine, others = old.filter(listed), old.filter(~listed)
         if state_date == previous_day and _all_loaded(finished, previous_day, tables):
-            state = apply_delta(mine, for_snapshot(read_events(spark, base), day), day)
+            state = apply_delta(mine, read_events(spark, base, day), day)
         else:
             state = maintain_current_state(mine, cur, day, unique_keys=unique_keys)
         state = state.unionByName(others)

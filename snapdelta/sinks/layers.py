@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import struct_of
-from ..sources.tables import layer_path
+from ..sources.tables import layer_path, partition_path
 
 
 def write_layer(
@@ -69,7 +68,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.date]) -> str:
     """Replace one partition as a whole, also when ``df`` is empty now."""
-    target = path.rstrip("/") + "".join(f"/{k}={quote(str(v), safe=' .-_')}" for k, v in values.items())
+    target = partition_path(path, values)
     df.drop(*values).write.mode("overwrite").parquet(target)
     return target
 

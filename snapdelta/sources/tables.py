@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import as_date
 from ..operators.envelope import has_columns, rename_project
-from ..session import new_path
+from ..session import new_path, path_exists
 
 
 def layer_path(base: str, layer: str, source: str, entity: str) -> str:
@@ -33,6 +34,24 @@ def read_layer(
     return df if ref_date is None else df.filter(F.col(date_col) == as_date(ref_date))
 
 
+def partition_path(path: str, values: Mapping[str, object]) -> str:
+    """Folder of one partition; names are escaped as the writer escapes them."""
+    return path.rstrip("/") + "".join(f"/{k}={quote(str(v), safe=' .-_')}" for k, v in values.items())
+
+
+def read_partition(
+    spark: SparkSession, path: str, schema: str | T.StructType, values: Mapping[str, object]
+) -> DataFrame:
+    """One partition of a table, empty if it does not exist.
+
+    Only its folder is listed, so the read does not slow down as days pile up.
+    """
+    target = partition_path(path, values)
+    if not path_exists(spark, target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(target)
+
+
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` and read it back: decouples the target from the source and cuts
     the plan. Without a path a new one in the shared folder is used, which

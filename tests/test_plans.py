@@ -72,7 +72,7 @@ def test_typed_ingest_is_repeatable(spark, tmp_path, rows):
         (1, "a", "files", "SALES.ORDERS"), (2, "b", "files", "SALES.ORDERS")]
     # Envelopes from the typed snapshot hold business columns only.
     assert bronze.load_envelope(spark, SPECS[0], base, D1) == 2
-    assert rows(silver.read_snapshots(spark, base), "data") == [('{"id":1,"v":"a"}',), ('{"id":2,"v":"b"}',)]
+    assert rows(silver.read_snapshots(spark, base, D1), "data") == [('{"id":1,"v":"a"}',), ('{"id":2,"v":"b"}',)]
 
 
 def test_days(spark, tmp_path, rows):
@@ -101,6 +101,8 @@ def test_days(spark, tmp_path, rows):
     state = silver.read_state(spark, base, D3).filter("primary_key = '2'")
     assert rows(state, "is_active", "first_seen_date", "last_seen_date") == [(1, D1, D3)]
     assert silver.read_state(spark, base, D2).count() == 4
+    assert silver.read_snapshots(spark, base, D1 - dt.timedelta(days=1)).isEmpty()
+    assert silver.read_events(spark, base, D2).filter("detected_at IS NULL").isEmpty()
     quality = gold.read_quality_metrics(spark, base, D3)
     assert rows(quality, "table_name", "total_records", "quality_score") == [("ITEMS", 1, 100.0), ("SALES.ORDERS", 2, 100.0)]
     assert [str(r.ref_date) for r in gold.trends(spark, base, 2).collect()] == ["2024-01-03", "2024-01-02"]

@@ -32,6 +32,8 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF_DIR)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in text for bad in ("CartesianProduct", "NestedLoopJoin", "Python"))
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str)
     if name not in entry.oracle_sql():
