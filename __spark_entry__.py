@@ -655,7 +655,8 @@ def customer_ltv(spark, sf_dir):
 def _streamed_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream all orders into partial results and read them."""
     schema = _table(spark, sf_dir, "orders").schema
-    raw = sales.read_order_stream(spark, sf_dir, schema, name_filter="orders.parquet")
+    # A stream takes a folder or a pattern but no single file; this matches either form of the table.
+    raw = sales.read_order_stream(spark, f"{sf_dir}/orders.parque[t]", schema)
     orders = raw.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ledger import SUCCESS, ledger_row, now, record_ingestion
+from ..operators.ledger import STARTED, SUCCESS, ledger_row, now, record_ingestion
 from ..operators.metrics import aggregate_spec, daily_change_metrics, data_quality_metrics, historical_trends
 from ..schemas import DAILY_CHANGE_METRICS, DATA_QUALITY_METRICS
 from ..sinks.layers import align, overwrite_partition
@@ -35,6 +35,7 @@ def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> int:
     the rows written."""
     started = now()
     day = dt.date.fromisoformat(str(ref_date))
+    record_ingestion(spark, ledger_path(base), [ledger_row(day, GOLD_SCHEMA, GOLD_TABLE, STARTED, started)])
     changes = daily_change_metrics(read_events(spark, base, day), read_state(spark, base, day), day)
     quality = data_quality_metrics(read_snapshots(spark, base, day), day)
     written = 0

@@ -13,7 +13,7 @@ from ..functions import add_row_hash, clean_strings
 from ..operators.aggregates import deduplicate
 from ..operators.delta import attach_payload, detect_delta
 from ..operators.envelope import for_snapshot, parse_payload
-from ..operators.ledger import SUCCESS, finished_loads, ledger_row, now, read_ledger, record_ingestion
+from ..operators.ledger import STARTED, SUCCESS, finished_loads, ledger_row, now, read_ledger, record_ingestion
 from ..operators.quality import validate_schema
 from ..operators.state import apply_delta, maintain_current_state
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, SNAPSHOT_RAW
@@ -144,12 +144,13 @@ def process_silver(
 
     Hashes are compared without payloads; the events found are written, and only
     their payloads are fetched. Tables not listed (not loaded that day) raise no
-    events and keep their state. A state version counts once the ledger says so,
-    so a run that dies half-way is simply repeated.
+    events and keep their state. The ledger shows the day as started until its state
+    is complete, so a run that dies half-way, also a forced one, is repeated.
     """
     started = now()
     day = dt.date.fromisoformat(str(ref_date))
     previous_day = day - dt.timedelta(days=1)
+    record_ingestion(spark, ledger_path(base), [ledger_row(day, SILVER_SCHEMA, STATE_TABLE, STARTED, started)])
     listed = F.col("table_name").isin(*tables)
     cur, prev = (read_snapshots(spark, base, d).filter(listed) for d in (day, previous_day))
 

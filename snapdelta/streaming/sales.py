@@ -24,14 +24,11 @@ def read_order_stream(
     path: str,
     schema: str | T.StructType,
     files_per_batch: int | None = None,
-    name_filter: str | None = None,
 ) -> DataFrame:
-    """New Parquet files of a directory as a stream."""
+    """New Parquet files of a folder (or of a path pattern) as a stream."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
     return reader.parquet(path)
 
 

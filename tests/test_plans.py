@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapdelta.operators.envelope import to_envelope
-from snapdelta.operators.ledger import read_runs, run_report
+from snapdelta.operators.ledger import finished_loads, read_ledger, read_runs, run_report
 from snapdelta.plans import bronze, daily, gold, silver
 from snapdelta.plans.specs import TableSpec, load_specs, select_specs, transformation_steps
 from snapdelta.sources.jdbc import JdbcSource
@@ -201,3 +201,25 @@ def test_metric_from_config(spark, rows):
     config = {"gold_metrics": {"by_v": {"aggregations": {"group_by": ["v"], "metrics": {"id": ["sum", "countDistinct"]}}}}}
     df = orders(spark, [(1, "a"), (1, "a"), (2, "b")])
     assert rows(gold.metric_from_config(config, "by_v", df)) == [("a", 2, 1), ("b", 2, 1)]
+
+
+def test_interrupted_day_is_repeated(spark, tmp_path, rows, monkeypatch):
+    base, spec = str(tmp_path), SPECS[:1]
+    first = reader({"ORDERS": orders(spark, [(1, "a")])})
+    daily.run_day(spark, first, spec, base, D1)
+    second = reader({"ORDERS": orders(spark, [(1, "b")])})
+    with monkeypatch.context() as m:
+        m.setattr(silver, "align", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            daily.run_day(spark, second, spec, base, D2)
+    # The load is done, silver and gold are not: the same call finishes them.
+    got = daily.run_day(spark, reader({"ORDERS": None}), spec, base, D2)
+    assert rows(got, "total_inserts", "total_updates") == [(0, 1)]
+    # A forced run that dies takes the day's state back to unfinished.
+    with monkeypatch.context() as m:
+        m.setattr(silver, "align", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            daily.run_day(spark, second, spec, base, D2, force=True)
+    finished = finished_loads(read_ledger(spark, bronze.ledger_path(base)), [D1, D2])
+    assert (D2, "silver", "current_state") not in finished and (D1, "silver", "current_state") in finished
+    assert rows(daily.run_day(spark, second, spec, base, D2), "total_updates") == [(1,)]
