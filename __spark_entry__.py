@@ -598,9 +598,7 @@ def _flag_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_limits(spark, sf_dir):
     measured = metrics.data_quality_metrics(_flag_snapshot(spark, sf_dir), REF_DAY)
-    limits = measured.select(
-        "table_name", F.lit(95.0).alias("quality_score_min"), F.lit(0).alias("duplicates_max")
-    )
+    limits = quality.default_limits(_flag_snapshot(spark, sf_dir))
     return quality.check_quality(measured, limits).select("table_name", "duplicate_count", "passed")
 
 

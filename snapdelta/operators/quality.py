@@ -17,6 +17,10 @@ from ..functions.types import CONFIG_TYPES
 LAYER_RETENTION_DAYS: dict[str, int | None] = {"bronze": 90, "silver": 365, "gold": None}
 DEFAULT_RETENTION_DAYS = 365
 
+# What a silver table must reach.
+QUALITY_SCORE_MIN = 95.0
+DUPLICATES_MAX = 0
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -123,6 +127,15 @@ def check_freshness(
     return run_contract(df, Contract(table_name, freshness_hours=hours, freshness_col=ts_col), as_of)
 
 
+def default_limits(tables: DataFrame) -> DataFrame:
+    """The contract's limits for every ``table_name``."""
+    return tables.select(
+        "table_name",
+        F.lit(QUALITY_SCORE_MIN).alias("quality_score_min"),
+        F.lit(DUPLICATES_MAX).cast("bigint").alias("duplicates_max"),
+    ).distinct()
+
+
 def check_quality(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Quality metrics against per-table limits: ``quality_score_min, duplicates_max``."""
     return metrics.join(thresholds, "table_name", "inner").select(

@@ -43,6 +43,7 @@ def test_check_quality(spark, rows):
     limits = spark.createDataFrame([("a", 95.0, 0), ("b", 95.0, 0), ("c", 95.0, 0)],
                                    "table_name STRING, quality_score_min DOUBLE, duplicates_max BIGINT")
     assert rows(Q.check_quality(m, limits), "table_name", "passed") == [("a", True), ("b", False), ("c", False)]
+    assert rows(Q.check_quality(m, Q.default_limits(m))) == rows(Q.check_quality(m, limits))
 
 
 def test_validate_schema(orders, rows):

@@ -130,6 +130,17 @@ def test_shared_dir_comes_from_the_session(spark):
     assert not path_exists(spark, new_path(spark, "x"))
 
 
+def test_get_session_applies_settings(spark):
+    from snapdelta.session import get_session
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert get_session(broadcast_threshold="1m").conf.get("spark.sql.autoBroadcastJoinThreshold") == "1m"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_session_catalog(spark, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     spark.range(3).write.mode("overwrite").saveAsTable("shop.items")
