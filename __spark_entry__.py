@@ -617,7 +617,7 @@ def quality_limits(spark, sf_dir):
     """,
 )
 def historical_trends(spark, sf_dir):
-    history = _history(spark, sf_dir)
+    history = stage(_history(spark, sf_dir))  # snapshots are stored tables
     counts = metrics.change_counts(delta.detect_delta_range(history))
     return metrics.historical_trends(
         metrics.with_active_counts(counts, state.state_from_history(history, MONTH_END))
