@@ -17,6 +17,7 @@ from .state import latest_by_key
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 LOAD_KEYS = ["ref_date", "schema_name", "table_name"]
+Load = tuple[dt.date, str, str]
 
 
 def ledger_row(
@@ -114,7 +115,7 @@ def successful_loads(ledger: DataFrame) -> DataFrame:
 
 def finished_loads(
     ledger: DataFrame, days: Sequence[dt.date], always: Sequence[str] = ()
-) -> set[tuple[dt.date, str, str]]:
+) -> set[Load]:
     """Successful loads of some days (and of the ``always`` tables on any day) as a
     set: a few rows per table, read once to steer a run."""
     rows = ledger.filter(F.col("ref_date").isin(*days) | F.col("table_name").isin(*always))

@@ -16,6 +16,7 @@ from ..operators.ledger import (
     FAILED,
     STARTED,
     SUCCESS,
+    Load,
     finished_loads,
     ledger_row,
     now,
@@ -117,16 +118,19 @@ def ingest_tables(
     load: Callable[..., int] = ingest_table,
     force: bool = False,
     parallel: int = 4,
+    finished: set[Load] | None = None,
 ) -> list[dict]:
     """Load several tables; a failing one is recorded and does not stop the rest.
 
     Tables already loaded for the day are left alone unless ``force``. Up to
     ``parallel`` tables are submitted at a time so small ones fill idle cores.
-    Returns one ledger row per table tried.
+    ``finished`` saves reading the ledger again. Returns one ledger row per table
+    tried.
     """
     day = dt.date.fromisoformat(str(ref_date))
-    done = set() if force else finished_loads(read_ledger(spark, ledger_path(base)), [day])
-    todo = [s for s in specs if (day, s.schema or "", s.table) not in done]
+    if finished is None:
+        finished = finished_loads(read_ledger(spark, ledger_path(base)), [day])
+    todo = [s for s in specs if force or (day, s.schema or "", s.table) not in finished]
 
     started = now()
 

@@ -37,8 +37,9 @@ def run_day(
     """
     day = dt.date.fromisoformat(str(ref_date))
     runs, started = [], now()
-    finished = finished_loads(read_ledger(spark, ledger_path(base)), [day])
-    rows = ingest_tables(spark, reader, specs, base, day, ingest_envelope, force, parallel)
+    days = [day, day - dt.timedelta(days=1)]
+    finished = finished_loads(read_ledger(spark, ledger_path(base)), days, [STATE_TABLE])
+    rows = ingest_tables(spark, reader, specs, base, day, ingest_envelope, force, parallel, finished)
     failed = {(r["schema_name"], r["table_name"]) for r in rows if r["status"] != SUCCESS}
     tables = [s.full_name for s in specs if (s.schema or "", s.table) not in failed]
     changed = len(rows) > len(failed)
@@ -47,7 +48,7 @@ def run_day(
         runs.append(run_row(domain, "bronze", started, sum(r["row_count"] or 0 for r in rows), errors=errors))
     if tables and (changed or (day, SILVER_SCHEMA, STATE_TABLE) not in finished):
         started = now()
-        n = process_silver(spark, base, day, tables, unique_keys)
+        n = process_silver(spark, base, day, tables, unique_keys, finished)
         runs.append(run_row(domain, "silver", started, n))
         changed = True
     if tables and (changed or (day, GOLD_SCHEMA, GOLD_TABLE) not in finished):

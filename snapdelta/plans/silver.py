@@ -13,7 +13,7 @@ from ..functions import add_row_hash, clean_strings
 from ..operators.aggregates import deduplicate
 from ..operators.delta import attach_payload, detect_delta
 from ..operators.envelope import for_snapshot, parse_payload
-from ..operators.ledger import STARTED, SUCCESS, finished_loads, ledger_row, now, read_ledger, record_ingestion
+from ..operators.ledger import STARTED, SUCCESS, Load, finished_loads, ledger_row, now, read_ledger, record_ingestion
 from ..operators.quality import validate_schema
 from ..operators.state import apply_delta, maintain_current_state
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, SNAPSHOT_RAW
@@ -126,7 +126,7 @@ def read_state(spark: SparkSession, base: str, state_date: str | dt.date) -> Dat
     return read_partition(spark, state_path(base), schema, {"state_date": state_date}).drop("state_date")
 
 
-def latest_state_date(finished: set[tuple[dt.date, str, str]], before: dt.date) -> dt.date | None:
+def latest_state_date(finished: set[Load], before: dt.date) -> dt.date | None:
     """Day of the newest complete state version before ``before``, by the ledger."""
     days = [d for d, schema, table in finished if (schema, table) == (SILVER_SCHEMA, STATE_TABLE) and d < before]
     return max(days, default=None)
@@ -138,6 +138,7 @@ def process_silver(
     ref_date: str | dt.date,
     tables: Sequence[str],
     unique_keys: bool = False,
+    finished: set[Load] | None = None,
 ) -> int:
     """Events and the next state version of one day, for all ``tables`` at once;
     returns the number of events.
@@ -162,7 +163,8 @@ def process_silver(
     )
     delete_path(spark, staged)
 
-    finished = finished_loads(read_ledger(spark, ledger_path(base)), [previous_day], [STATE_TABLE])
+    if finished is None:
+        finished = finished_loads(read_ledger(spark, ledger_path(base)), [previous_day], [STATE_TABLE])
     state_date = latest_state_date(finished, day)
     if state_date is None:
         old = spark.createDataFrame([], CURRENT_STATE)
@@ -180,6 +182,6 @@ def process_silver(
     return n_events
 
 
-def _all_loaded(finished: set[tuple[dt.date, str, str]], day: dt.date, tables: Sequence[str]) -> bool:
+def _all_loaded(finished: set[Load], day: dt.date, tables: Sequence[str]) -> bool:
     """Whether every table has a successful load of ``day``."""
     return set(tables) <= {f"{schema}.{table}" if schema else table for d, schema, table in finished if d == day}
