@@ -1425,6 +1425,22 @@ def daily_run_quality(spark, sf_dir):
     return read_quality_metrics(spark, _two_days(spark, sf_dir), REF_DAY).drop("calculated_at")
 
 
+# --- training-data operators, if their subpackage is there ---------------------------------------------
+
+core = tuple(_queries)
+try:
+    import corpus_pipeline
+    from snapdelta.llm import queries as training
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "snapdelta.llm"):
+        raise
+else:
+    _queries |= training.QUERIES | {"pipeline": corpus_pipeline.run}
+    _oracles |= training.ORACLES
+    if corpus_pipeline.ORACLE_SQL:
+        _oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # --- driver contract ---------------------------------------------------------------------------------
 
 

@@ -29,7 +29,7 @@ def plain(v):
     return repr(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.core))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF_DIR)
     text = df._jdf.queryExecution().executedPlan().toString()
