@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language_id, quality_classifier, quality_rules
+from . import bpe, language_id, neighbours, packing, quality_classifier, quality_rules, warc
 from .common import ship
 
 
@@ -19,17 +21,39 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.page_records(warc.read_archives(spark, files, payload=False))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trips(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_warc": op2_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op8_neighbours": op8_neighbours,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}
