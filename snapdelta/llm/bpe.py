@@ -18,18 +18,25 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import OTHER_SPACE, Rows
+
 LEAF = 8
 SHORT = 24
-CACHE = 300_000
-#: Two white-space characters in a row, or one at an edge: such texts are not cut at spaces first.
-ODD_SPACE = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f]")
+CACHE = 1_000_000
+LONG = 64
+NONE = 1 << 60
+
+
+def plain_spaces(text: str) -> bool:
+    """Whether every space parts two words: no other white space next to it or at an edge."""
+    odd = "  " in text or " \n" in text or "\n " in text or any(c in text for c in "\t\r\x0b\x0c")
+    return not (odd or text[0].isspace() or text[-1].isspace() or OTHER_SPACE.search(text))
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -47,34 +54,33 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
+        """Forget what was met before."""
         self.leaves: dict[bytes, tuple[bytes, ...]] = {}
         self.stable: dict[tuple[bytes, bytes], bool] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
-
-    def trim(self) -> None:
-        """Forget everything once a cache is full, so that a worker's memory stays bounded."""
-        if max(len(self.leaves), len(self.stable), len(self.chunks)) > CACHE:
-            self.reset()
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.rows = Rows()
+        #: Of each chunk in ``rows``: its ids, the same as text, and the bytes they decode to.
+        self.ids: list[tuple[int, ...]] = []
+        self.texts: list[str] = []
+        self.bytes: list[bytes] = []
 
     def merged(self, data: bytes) -> Sequence[bytes]:
         """Tokens of ``data`` by merging the neighbours of lowest rank, leftmost first."""
         ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
         if len(data) <= SHORT:
-            found = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-            while True:
-                best, at = None, -1
-                for i, r in enumerate(found):
-                    if r is not None and (best is None or r < best):
-                        best, at = r, i
-                if best is None:
-                    return parts
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            get = ranks.get
+            found = [get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+            while found and (best := min(found)) < NONE:
+                at = found.index(best)
+                joined = parts[at] + parts.pop(at + 1)
+                parts[at] = joined
                 found.pop(at)
                 if at:
-                    found[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                    found[at - 1] = get(parts[at - 1] + joined, NONE)
                 if at < len(found):
-                    found[at] = ranks.get(parts[at] + parts[at + 1])
+                    found[at] = get(joined + parts[at + 1], NONE)
+            return parts
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
@@ -131,30 +137,56 @@ class Encoder:
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
-    def piece(self, piece: str) -> list[int]:
-        data = piece.encode()
-        rank = self.ranks.get(data)
-        return [rank] if rank is not None else [self.ranks[t] for t in self.tree(data)]
+    def piece(self, piece: str) -> tuple[int, ...]:
+        known = self.pieces.get(piece)
+        if known is None:
+            data = piece.encode()
+            rank = self.ranks.get(data)
+            known = (rank,) if rank is not None else tuple([self.ranks[t] for t in self.tree(data)])
+            if len(piece) <= LONG:
+                self.pieces[piece] = known
+        return known
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
-        return tuple(i for p in self.pattern.findall(chunk) for i in self.piece(p))
-
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a whole text. Where single spaces part its words, the pattern always
-        begins a match at the space, so words can be looked up with theirs."""
+        """Ids of a text without spaces but at its start; letters need no pattern."""
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isalpha():
+            return self.piece(chunk)
+        if word[:-1].isalpha() and word[-1] in ".,":
+            return self.piece(chunk[:-1]) + self.piece(chunk[-1])
+        return tuple([i for p in self.pattern.findall(chunk) for i in self.piece(p)])
+
+    def chunks(self, text: str) -> list[int]:
+        """Rows of the text's chunks. Where single spaces part its words, the pattern
+        always begins a match at the space, so words can be looked up with theirs."""
+        if max(len(self.rows), len(self.leaves), len(self.stable), len(self.pieces)) > CACHE:
+            self.reset()  # so that a worker's memory stays bounded
         if not text:
             return []
-        if ODD_SPACE.search(text):
-            chunks = self.pattern.findall(text)
+        if plain_spaces(text):
+            parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.pattern.findall(text)
         else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + w for w in rest]]
-        known = self.chunks
-        for c in set(chunks).difference(known):
-            known[c] = self.chunk(c)
-        ids = [i for c in chunks for i in known[c]]
-        self.trim()
-        return ids
+            parts = self.pattern.findall(text)
+        rows = list(map(self.rows.__getitem__, parts))
+        new, self.rows.new = self.rows.new, []
+        for c in new:
+            ids = self.chunk(c)
+            self.ids.append(ids)
+            self.texts.append(",".join(map(str, ids)))
+            self.bytes.append(self.decode(ids))
+        return rows
+
+    def encode(self, text: str | None) -> list[int]:
+        """Ids of a whole text."""
+        return [i for r in self.chunks(text or "") for i in self.ids[r]]
+
+    def round_trip(self, text: str | None) -> tuple[int, str, bytes]:
+        """Number of ids, the ids as text, and what they decode to, concatenated from the
+        chunks' own encodings and decodings."""
+        rows = self.chunks(text or "")
+        known = self.ids
+        n = sum([len(known[r]) for r in rows])
+        return n, ",".join(map(self.texts.__getitem__, rows)), b"".join(map(self.bytes.__getitem__, rows))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         if len(ids) <= 4096:
@@ -201,9 +233,8 @@ def decoded(rows: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
 
 def _digest(encoder: Encoder, text: str | None) -> tuple[int, str, str]:
-    ids = encoder.encode(text)
-    data = encoder.decode(ids)
-    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(data).hexdigest()
+    n, ids, data = encoder.round_trip(text)
+    return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(data).hexdigest()
 
 
 def round_trips(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:

@@ -6,8 +6,10 @@ import contextlib
 import re
 import shutil
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,3 +90,81 @@ def shuffle_cleanup(spark: SparkSession):
         yield
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+MIX = np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def word_grams(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed byte n-grams of words, edges marked by ``<`` and ``>``: buckets, the word
+    each belongs to, and a 64-bit hash per word. The whole marked word is a gram too."""
+    data = [f"<{w}>".encode() for w in words]
+    lengths = np.fromiter(map(len, data), np.int64, len(data))
+    text = np.frombuffer(b"".join(data), np.uint8).astype(np.uint64) + np.uint64(1)
+    start = np.cumsum(lengths) - lengths
+    of = np.repeat(np.arange(len(data)), lengths)
+    shift = np.uint64(64 - bits)
+    place = np.arange(len(text)) - start[of]
+    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(lengths.max(initial=1)), BASE)]))
+    whole = np.add.reduceat(text * powers[place], start) if len(data) else np.zeros(0, np.uint64)
+    whole = (whole ^ (whole >> np.uint64(29))) * MIX
+    whole ^= whole >> np.uint64(32)
+    ids, owner = [(whole * MIX >> shift).astype(np.int64)], [np.arange(len(data))]
+    rolled, size = text, 1
+    for n in sorted(sizes):
+        while size < n:
+            rolled = rolled[:-1] * BASE + text[size:] if len(rolled) > 1 else rolled[:0]
+            size += 1
+        ok = place[: len(rolled)] + n <= lengths[of[: len(rolled)]]
+        h = rolled[ok] + MIX // np.uint64(n)
+        h = (h ^ (h >> np.uint64(31))) * MIX
+        ids.append((h >> shift).astype(np.int64))
+        owner.append(of[: len(rolled)][ok])
+    return np.concatenate(ids), np.concatenate(owner), whole
+
+
+class Rows(dict):
+    """Numbers words in the order they are first met; ``new`` lists those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = row = len(self)
+        return row
+
+
+class WordTable:
+    """Rows of numbers per word, computed once per worker and model.
+
+    ``compute`` gives an array per column for a list of new words. Words of many texts
+    are looked up together; a full table starts again.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], list[np.ndarray]], most: int = 1_000_000):
+        self.compute, self.most = compute, most
+        self.rows = Rows()
+        self.columns: list[np.ndarray] = []
+
+    def index(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Rows of the words of each text; ``columns`` has their numbers until the next call."""
+        if len(self.rows) > self.most:
+            self.rows, self.columns = Rows(), []
+        found = [np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words)) for words in texts]
+        new, self.rows.new = self.rows.new, []
+        first = len(self.rows) - len(new)
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            got = self.compute(part)
+            need = first + len(part)
+            if not self.columns or need > len(self.columns[0]):
+                room = max(2 * need, 1024)
+                old = self.columns or [g[:0] for g in got]
+                self.columns = [np.concatenate([o[:first], np.zeros((room - first, *o.shape[1:]), o.dtype)]) for o in old]
+            for column, values in zip(self.columns, got, strict=True):
+                column[first:need] = values
+            first = need
+        return found

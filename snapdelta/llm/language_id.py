@@ -32,32 +32,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import remainder, words_of
+from .common import WordTable, remainder, word_grams, words_of
 
-BUCKETS = 1 << 16
+BITS = 16
+BUCKETS = 1 << BITS
+NGRAMS = (2, 3, 4)
 PER_LANGUAGE = 250
 LEXICON = 300
 SEQUENCE = 48
 BATCH = 48
 STEPS = 260
 RATE = 0.5
-CACHE = 400_000
 CHUNK = 1_500_000
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
-def word_features(word: str, lexicons: dict[str, int]) -> list[int]:
-    """Hashed affixes, trigrams and the word itself; ``lexicons`` maps a word to a bit
-    per language whose lexicon has it."""
-    data = word.lower().encode()
-    out = [zlib.crc32(data) % BUCKETS]
-    for n in (1, 2, 3):
-        out.append(zlib.crc32(data[:n], n) % BUCKETS)
-        out.append(zlib.crc32(data[-n:], 8 + n) % BUCKETS)
-    out += [zlib.crc32(data[i : i + 3], 16) % BUCKETS for i in range(len(data) - 2)]
-    out.append(zlib.crc32(b"lexicon%d" % lexicons.get(word.lower(), 0), 32) % BUCKETS)
-    return out
+def word_features(words: list[str], lexicons: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of each word and the word each belongs to: the word itself, its
+    n-grams (those at a marked edge are its affixes) and the lexicons that have it, a
+    bit each in ``lexicons``."""
+    lower = [w.lower() for w in words]
+    ids, of, _ = word_grams(lower, NGRAMS, BITS)
+    lexicon = np.fromiter((zlib.crc32(b"lexicon%d" % lexicons.get(w, 0)) % BUCKETS for w in lower), np.int64, len(lower))
+    return np.concatenate([ids, lexicon]), np.concatenate([of, np.arange(len(lower))])
+
+
+def word_scores(words: list[str], weights: np.ndarray, lexicons: dict[str, int]) -> np.ndarray:
+    ids, of = word_features(words, lexicons)
+    return np.stack([np.bincount(of, weights[ids, c], len(words)) for c in range(weights.shape[1])], 1)
 
 
 @dataclass(frozen=True)
@@ -114,7 +117,6 @@ def train(texts: list[tuple[str, str]], seed: int = 11) -> Model:
     moves = np.zeros((k, k))
     if k > 1:
         rng = np.random.default_rng(seed)
-        known: dict[str, list[int]] = {}
         seen = np.zeros(BUCKETS)
         for step in range(STEPS):
             picked, label = [], np.empty((BATCH, SEQUENCE), np.int64)
@@ -129,11 +131,7 @@ def train(texts: list[tuple[str, str]], seed: int = 11) -> Model:
                     picked += taken
                     label[b, i : i + run] = lang
                     i += run
-            for w in picked:
-                if w not in known:
-                    known[w] = word_features(w, lexicons)
-            ids = np.fromiter((f for w in picked for f in known[w]), np.int64)
-            of = np.repeat(np.arange(len(picked)), [len(known[w]) for w in picked])
+            ids, of = word_features(picked, lexicons)
             score = np.stack([np.bincount(of, weights[ids, c], len(picked)) for c in range(k)], 1)
             word, pair = marginals(score.reshape(BATCH, SEQUENCE, k), moves)
             truth = np.eye(k)[label]
@@ -159,26 +157,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, fold: int = 4, left_o
     return train(sorted((r["lang"], r["text"]) for r in got))
 
 
-class Words:
-    """A worker's rows of word scores, kept between batches of one model."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.reset()
+def _evidence(model: Model, words: list[str]) -> list[np.ndarray]:
+    score = word_scores(words, model.weights, model.lexicons)
+    return [np.exp(score - score.max(1, keepdims=True)).astype(np.float32)]
 
-    def reset(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.model.languages)), np.float32)
 
-    def index(self, words: list[str]) -> np.ndarray:
-        for w in set(words).difference(self.rows):
-            row = len(self.rows)
-            if row >= len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            score = self.model.weights[word_features(w, self.model.lexicons)].sum(0)
-            self.scores[row] = np.exp(score - score.max())
-            self.rows[w] = row
-        return np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
+def word_table(model: Model) -> WordTable:
+    return WordTable(lambda words: _evidence(model, words))
 
 
 def _mass(evidence: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -211,7 +196,7 @@ def _mass(evidence: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.nd
     return total
 
 
-def predict(texts: list[str | None], model: Model, cache: Words) -> list[tuple[str, float]]:
+def predict(texts: list[str | None], model: Model, table: WordTable) -> list[tuple[str, float]]:
     """Language and share of probability mass of each text."""
     out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
     if not model.languages:
@@ -227,11 +212,9 @@ def predict(texts: list[str | None], model: Model, cache: Words) -> list[tuple[s
             group.append(usable[at])
             n += len(split[usable[at]])
             at += 1
-        if len(cache.rows) > CACHE:
-            cache.reset()
-        rows = np.concatenate([cache.index(split[i]) for i in group])
+        rows = np.concatenate(table.index([split[i] for i in group]))
         lengths = np.array([len(split[i]) for i in group])
-        total = _mass(cache.scores[rows], lengths, moves)
+        total = _mass(table.columns[0][rows], lengths, moves)
         best = total.argmax(1)
         for j, i in enumerate(group):
             out[i] = model.languages[best[j]], float(min(total[j, best[j]] / lengths[j], 1.0))
@@ -243,13 +226,13 @@ def label_words(text: str, model: Model) -> list[tuple[str, str, float]]:
     words = words_of(text)
     if not words or not model.languages:
         return [(w, UNKNOWN, 0.0) for w in words]
-    score = np.stack([model.weights[word_features(w, model.lexicons)].sum(0) for w in words])
+    score = word_scores(words, model.weights, model.lexicons)
     word, _ = marginals(score[None], model.moves)
     best = word[0].argmax(1)
     return [(w, model.languages[b], float(word[0, i, b])) for i, (w, b) in enumerate(zip(words, best, strict=True))]
 
 
-_cache: dict = {}
+_tables: dict = {}
 
 
 def with_language(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -260,10 +243,10 @@ def with_language(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     model_id = zlib.crc32(model.weights.tobytes())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if _cache.get("id") != model_id:
-            _cache.update(id=model_id, words=Words(shared.value))
+        if _tables.get("id") != model_id:
+            _tables.update(id=model_id, words=word_table(shared.value))
         for b in batches:
-            found = predict(b.column("text").to_pylist(), shared.value, _cache["words"])
+            found = predict(b.column("text").to_pylist(), shared.value, _tables["words"])
             yield pa.RecordBatch.from_arrays(
                 [b.column(c) for c in keep]
                 + [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],

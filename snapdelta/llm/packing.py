@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import struct
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -28,12 +29,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stages
+from .common import Rows, Stages
 
 CAPACITY = 4096
 END = 1
-CACHE = 400_000
-LONG_WORD = 64
+CACHE = 1_000_000
+BATCH = 512
+
+
+# How byte-level tokenizers write a byte as a character. Printable Latin-1
+# stands for itself, the other bytes follow from code point 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SYMBOL = {b: chr(b) for b in PRINTABLE}
+SYMBOL |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in SYMBOL)}
 
 
 def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> np.ndarray:
@@ -111,22 +119,45 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = list(set(words).difference(self.known))
-        if new:
-            if len(self.known) > CACHE:
-                self.known = {}
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join(map(self.known.__getitem__, words))
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.known[w]
-        return out
+        self.model = self.tokenizer.model
+        self.reset()
+
+    def reset(self) -> None:
+        self.rows, self.known, self.pieces = Rows(), [], {}
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece of lower-case letters, straight from the model."""
+        known = self.pieces.get(piece)
+        if known is None:
+            symbols = piece if piece.isascii() else "".join([SYMBOL[b] for b in piece.encode()])
+            ids = [t.id for t in self.model.tokenize(symbols)]
+            known = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words. A word of Latin-1 letters, or one with a full stop or comma
+        behind, is one piece or two whatever the normalizer does; the whole tokenizer
+        encodes the others."""
+        for word in words:
+            core, tail = (word[:-1], word[-1]) if word[-1:] in ("." , ",") else (word, "")
+            if core.isalpha() and max(core) < "\u0100":
+                self.known.append(self.piece(core.lower()) + (self.piece(tail) if tail else b""))
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                self.known.append(struct.pack(f"<{len(ids)}I", *ids))
+
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        for at in range(0, len(texts), BATCH):
+            if len(self.rows) > CACHE:
+                self.reset()
+            found = []
+            for text in texts[at : at + BATCH]:
+                words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+                found.append(list(map(self.rows.__getitem__, words)))
+            new, self.rows.new = self.rows.new, []
+            self.learn(new)
+            for rows in found:
+                yield b"".join(map(self.known.__getitem__, rows))
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
@@ -152,8 +183,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end:
         seen = [0] * (capacity + 1)
         for b in batches:
             of, rows = [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                ids = tokenizer.ids(text) + last
+            for i, ids in enumerate(tokenizer.ids(b.column("text").to_pylist())):
+                ids += last
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     n = len(part) // 4

@@ -24,48 +24,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, words_of
+from .common import WordTable, remainder, word_grams, words_of
 
-BUCKETS = 1 << 17
+BITS = 17
+BUCKETS = 1 << BITS
 DIM = 8
 NGRAMS = (3, 4)
 MAX_TRAIN = 4000
 EPOCHS = 6
 RATE = 0.3
 THRESHOLD = 0.3
-CACHE = 400_000
+BATCH = 256
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a word and of its character n-grams, edges marked; symbols count as characters."""
-    data = f"<{word}>".encode()
-    out = [zlib.crc32(data) % BUCKETS]
-    for n in NGRAMS:
-        out += [zlib.crc32(data[i : i + n], n) % BUCKETS for i in range(len(data) - n + 1)]
-    return out
-
-
 def pair_features(hashes: np.ndarray) -> np.ndarray:
     """Buckets of neighbouring words. The hash does not depend on their order, and
     all immediate repetitions share bucket 0."""
-    mixed = (hashes[1:] ^ hashes[:-1]) * MULTIPLIER
-    return (mixed >> np.uint64(64 - 17)).astype(np.int64)
-
-
-def word_hash(word: str) -> int:
-    data = word.encode()
-    return zlib.crc32(data) << 32 | zlib.adler32(data)
+    return ((hashes[1:] ^ hashes[:-1]) * MULTIPLIER >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """A document's feature buckets and their counts."""
     words = words_of(text or "")
-    known = {w: word_features(w) for w in set(words)}
-    ids = [i for w in words for i in known[w]]
-    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
-    pairs = pair_features(hashes) if len(words) > 1 else np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.array(ids, np.int64), pairs]), return_counts=True)
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids, _, hashes = word_grams(words, NGRAMS, BITS)
+    return np.unique(np.concatenate([ids, pair_features(hashes)]), return_counts=True)
 
 
 @dataclass(frozen=True)
@@ -135,34 +120,29 @@ def fit(
     return train([(unpack(r["ids"]), unpack(r["n"])) for r in got], [r["quality"] for r in got])
 
 
-_words: dict = {}
+_tables: dict = {}
 
 
-def _known(model_id: int) -> dict:
-    """This worker's words so far, for one model."""
-    if _words.get("model") != model_id:
-        _words.clear()
-        _words.update(model=model_id, words={})
-    if len(_words["words"]) > CACHE:
-        _words["words"] = {}
-    return _words["words"]
+def _word_scores(model: Model, words: list[str]) -> list[np.ndarray]:
+    """Of each word: the sum over its features, their number, and its hash."""
+    ids, of, hashes = word_grams(words, NGRAMS, BITS)
+    return [np.bincount(of, model.weights[ids], len(words)), np.bincount(of, minlength=len(words)), hashes]
 
 
-def score_text(text: str | None, model: Model, known: dict) -> float:
-    words = words_of(text or "")
-    if not words:
-        return model.score(0.0, 0)
-    for w in set(words).difference(known):
-        ids = word_features(w)
-        known[w] = (float(model.weights[ids].sum()), len(ids), word_hash(w))
-    found = [known[w] for w in words]
-    sums, ns, hashes = zip(*found, strict=True)
-    total, n = sum(sums), sum(ns)
-    if len(words) > 1:
-        pairs = pair_features(np.array(hashes, np.uint64))
-        total += float(model.weights[pairs].sum())
-        n += len(pairs)
-    return model.score(total, n)
+def score_texts(texts: list[str | None], model: Model, table: WordTable) -> list[float]:
+    """Scores of whole texts, some hundred at a time so that few words are held at once."""
+    out = []
+    for at in range(0, len(texts), BATCH):
+        split = [words_of(t or "") for t in texts[at : at + BATCH]]
+        for rows in table.index(split):
+            if not len(rows):
+                out.append(model.score(0.0, 0))
+                continue
+            sums, ns, hashes = table.columns
+            pairs = pair_features(hashes[rows])
+            total = float(sums[rows].sum() + model.weights[pairs].sum())
+            out.append(model.score(total, int(ns[rows].sum()) + len(pairs)))
+    return out
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "_score", drop_text: bool = False) -> DataFrame:
@@ -174,10 +154,11 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
     model_id = zlib.crc32(model.weights.tobytes())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local = Model(*shared.value)
+        if _tables.get("id") != model_id:
+            local = Model(*shared.value)
+            _tables.update(id=model_id, model=local, words=WordTable(lambda words: _word_scores(local, words)))
         for b in batches:
-            known = _known(model_id)
-            scores = [score_text(t, local, known) for t in b.column(text_col).to_pylist()]
+            scores = score_texts(b.column(text_col).to_pylist(), _tables["model"], _tables["words"])
             yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(scores, pa.float64())], names=[*names, out])
 
     return docs.mapInArrow(add, schema)

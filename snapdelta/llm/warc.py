@@ -101,7 +101,7 @@ def write_archives(pages: DataFrame, date: str = DATE) -> DataFrame:
         for b in batches:
             for row in b.to_pylist():
                 if out is None:
-                    out = fs.open_output_stream(f"{folder}/{name}")
+                    out = fs.open_output_stream(f"{folder}/{name}", compression=None)
                 data = member(record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"], date))
                 out.write(data)
                 length += len(data)
