@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, neighbours, packing, quality_classifier, quality_rules, warc
+from . import bpe, language_id, neighbours, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, warc
 from .common import ship
 
 
@@ -26,6 +26,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, files, payload=False))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
@@ -50,10 +58,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_neighbours": op8_neighbours,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}
