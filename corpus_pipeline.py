@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapdelta.llm import quality_classifier, quality_rules
+from snapdelta.llm import near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 from snapdelta.llm.common import Stages, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,9 +29,30 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    ship(spark)
+    return near_dedup.deduplicated(docs)
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that occur more than once."""
+    ship(spark)
+    return substring_dedup.deduplicated(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the documents left and its place in a training sequence."""
+    ship(spark)
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules_stage),
     ("quality classifier", quality_classifier_stage),
+    ("near dedup", near_dedup_stage),
+    ("substring dedup", substring_dedup_stage),
+    ("packing", packing_stage),
 ]
 #: Learned weights and robust estimates have no SQL; tests hold every stage against brute force.
 ORACLE_SQL: str | None = None

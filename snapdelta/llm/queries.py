@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, neighbours, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, warc
+from . import bpe, language_id, near_dedup, neighbours, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, warc
 from .common import ship
 
 
@@ -43,6 +43,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_near_dedup": op7_near_dedup,
     "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
