@@ -52,6 +52,19 @@ def remainder(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def nested(docs: DataFrame, *also: str) -> DataFrame:
+    """The text, the columns of ``also`` and a struct of all but the text, so that an
+    operator's own columns cannot clash with those of the documents."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).alias("none")]
+    return docs.select(F.struct(*rest).alias("_row"), "text", *also)
+
+
+def unnested(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The documents' columns again, those of ``new`` replaced."""
+    own = {"text": F.col("text")} | new
+    return rows.select(*[(own[c] if c in own else F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 class Stages:
     """Tables written to the shared folder to cut a plan, removed again.
 

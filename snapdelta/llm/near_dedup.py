@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, MIX, Stages
+from .common import BASE, MIX, Stages, nested, unnested
 from .repeats import Texts, keyed, mix, prefix, run_hash, signed
 from .substring_dedup import word_codes
 
@@ -284,16 +284,19 @@ def _classes(stages: Stages, docs: DataFrame) -> DataFrame:
 
 
 def _classified(docs: DataFrame) -> DataFrame:
-    """``docs`` with the key of their class and the class's smallest id."""
+    """``docs`` (``doc_id``, ``text`` and a row) with the key of their class, the class's
+    smallest id and its size."""
     spark = docs.sparkSession
     with Stages(spark) as stages:
         labels = Stages(spark).write(_classes(stages, docs), "classes", keep=True)
-    rows = keyed(docs).join(labels, ["_t1", "_t2"], "left")
-    rows = rows.withColumns({"_c1": F.coalesce("c1", "_t1"), "_c2": F.coalesce("c2", "_t2")}).drop("c1", "c2")
-    slim = keyed(docs.select("doc_id", "text")).drop("text").join(labels, ["_t1", "_t2"], "left")
-    keys = [F.coalesce("c1", "_t1").alias("_c1"), F.coalesce("c2", "_t2").alias("_c2")]
-    first = Stages(spark).write(slim.groupBy(*keys).agg(F.min("doc_id").alias("_class"), F.count("*").alias("_size")), "firsts", keep=True)
-    return rows.join(first, ["_c1", "_c2"])
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        rows = keyed(rows).join(labels, ["_t1", "_t2"], "left")
+        return rows.withColumns({"_c1": F.coalesce("c1", "_t1"), "_c2": F.coalesce("c2", "_t2")})
+
+    slim = labelled(docs.select("doc_id", "text")).groupBy("_c1", "_c2")
+    first = slim.agg(F.min("doc_id").alias("_class"), F.count("*").alias("_size"))
+    return labelled(docs).join(Stages(spark).write(first, "firsts", keep=True), ["_c1", "_c2"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -306,8 +309,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each class, all columns: the one with the smallest id. Of rows that
     share that id, or of a class without ids, any one stays."""
-    rows = _classified(docs).filter(F.col("doc_id").eqNullSafe(F.col("_class")))
+    rows = _classified(nested(docs, "doc_id")).filter(F.col("doc_id").eqNullSafe(F.col("_class")))
     repeated = rows.groupBy("_c1", "_c2").count().filter("count > 1")
     if not repeated.isEmpty():
         rows = rows.dropDuplicates(["_c1", "_c2"])
-    return rows.select(*docs.columns)
+    return unnested(rows, docs.columns)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, remainder, word_grams, words_of
+from .common import WordTable, nested, remainder, unnested, word_grams, words_of
 
 BITS = 17
 BUCKETS = 1 << BITS
@@ -176,7 +176,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out_mod: int = 5) ->
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, held_out_mod: int = 5) -> DataFrame:
-    """The documents predicted to be of quality, all columns."""
-    model = fit(docs, labels, held_out_mod)
-    return with_score(docs, model).filter(F.col("_score") >= THRESHOLD).select(*docs.columns)
+def keep_good(docs: DataFrame, labelled: DataFrame, labels: DataFrame, held_out_mod: int = 5) -> DataFrame:
+    """The documents predicted to be of quality, all columns; the model learns from
+    ``labels`` of ``labelled``."""
+    model = fit(labelled, labels, held_out_mod)
+    return unnested(with_score(nested(docs), model).filter(F.col("_score") >= THRESHOLD), docs.columns)

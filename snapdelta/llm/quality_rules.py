@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stages, words_of
+from .common import Stages, nested, unnested, words_of
 
 SYMBOLS = "#*$%&|<>"
 BLANK = "\t\n\x0b\x0c\r "
@@ -42,7 +42,8 @@ DIMS = 4
 #: hundred characters, log duplicate lines, log of ten times the repeated share.
 #: Most groups have no symbol and no duplicate line at all, so scatter needs a floor.
 FLOORS = (0.06, 0.3, 0.5, 0.4)
-SHARE = 0.75
+#: Share of a group that estimates rest on: almost half of it may be junk.
+SHARE = 0.5
 STEPS = 4
 MIN_GROUP = 30
 TAIL = 1e-5
@@ -257,11 +258,11 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang: str = "lang", s
     )
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def keep_good(docs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents kept, all columns. Statistics come from a first pass over all
     texts; a second pass counts again rather than shuffle texts to their verdicts."""
     stages = Stages(docs.sparkSession)
-    slim = docs.select(text_col, lang, source)
-    counted = stages.write(with_counts(slim, text_col, drop_text=True), "rules-counts")
+    counted = stages.write(with_counts(docs.select("text", lang, source), drop_text=True), "rules-counts")
     estimate = stages.write(estimates(stages, counted, lang, source), "rules-estimate")
-    return judged(with_counts(docs, text_col), estimate, lang, source).filter("_kept").select(*docs.columns)
+    rows = judged(with_counts(nested(docs, lang, source)), estimate, lang, source)
+    return unnested(rows.filter("_kept"), docs.columns)

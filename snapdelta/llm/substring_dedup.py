@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, WORD, Stages, words_of
+from .common import BASE, WORD, Stages, nested, unnested, words_of
 from .repeats import BUCKET, PAIRS, Kind, gathered, mix, powers, prefix, removal, repeated_by_offset, run_ends, starts_frame, unpack
 
 WIDTH = 35
@@ -125,8 +125,8 @@ def removed(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` whose texts lack their repeated words; runs of kept words keep the white
     space between them. A null text stays null, and ``n_chars``, if there, follows."""
-    kept = removal(docs.sparkSession, docs, WORDS, compare, "_kept STRING", _cut_text)
+    kept = removal(docs.sparkSession, nested(docs), WORDS, compare, "_kept STRING", _cut_text)
     text = F.when(F.col("text").isNotNull(), F.col("_kept"))
-    fields = {f.name: f.dataType for f in docs.schema.fields}
-    new = {"text": text} | ({"n_chars": F.length(text).cast(fields["n_chars"])} if "n_chars" in fields else {})
-    return kept.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    types = dict(docs.dtypes)
+    new = {"n_chars": F.length(text).cast(types["n_chars"])} if "n_chars" in types else {}
+    return unnested(kept, docs.columns, text=text, **new)
