@@ -24,9 +24,11 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the classifier takes for good; it learns from the labels of what is left."""
+    """Documents the classifier takes for good. It learns from the labelled rows of
+    ``documents``: few bad ones are left after the rules, but it has to know them."""
     ship(spark)
-    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return quality_classifier.keep_good(docs, labelled, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
