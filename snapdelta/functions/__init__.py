@@ -2,6 +2,7 @@ from .hashing import add_row_hash, primary_key, row_hash, row_json, text_columns
 from .scalar import (
     as_date,
     clean_strings,
+    error_text,
     hash_changed,
     is_blank,
     load_timestamp,
@@ -22,6 +23,7 @@ __all__ = [
     "cast_to",
     "catalog_type",
     "clean_strings",
+    "error_text",
     "hash_changed",
     "is_blank",
     "load_timestamp",

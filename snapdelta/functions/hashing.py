@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+#: JSON with timestamps to the microsecond; Spark's default stops at milliseconds.
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 SEPARATOR = "|||"
 STAGING_SEPARATOR = "||"
 
@@ -21,7 +26,7 @@ def text_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[Colum
     names = df.columns if cols is None else cols
     nested = (StructType, ArrayType, MapType)
     return [
-        (F.to_json(c) if isinstance(df.schema[c].dataType, nested) else F.col(c).cast("string")).alias(c)
+        (F.to_json(c, JSON_OPTIONS) if isinstance(df.schema[c].dataType, nested) else F.col(c).cast("string")).alias(c)
         for c in names
     ]
 
@@ -45,7 +50,7 @@ def add_row_hash(df: DataFrame, exclude: Iterable[str] | None = None, hash_col:
     """SHA-256 of the row as JSON, columns in name order, NULL fields left out."""
     skipped = set(exclude or ())
     names = sorted(c for c in df.columns if c not in skipped)
-    return df.withColumn(hash_col, F.sha2(F.to_json(F.struct(*names)), 256))
+    return df.withColumn(hash_col, F.sha2(F.to_json(F.struct(*names), JSON_OPTIONS), 256))
 
 
 def primary_key(cols: Iterable[str | Column], sep: str = SEPARATOR) -> Column:
@@ -53,4 +58,4 @@ def primary_key(cols: Iterable[str | Column], sep: str = SEPARATOR) -> Column:
 
 
 def row_json(cols: Iterable[str | Column]) -> Column:
-    return F.to_json(F.struct(*_columns(cols)))
+    return F.to_json(F.struct(*_columns(cols)), JSON_OPTIONS)

@@ -21,6 +21,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def error_text(e: BaseException) -> str:
+    """An exception with its type, whole, also if it has no message."""
+    return f"{type(e).__name__}: {e}"
+
+
 def hash_changed(before: str | Column, after: str | Column) -> Column:
     """NULL-safe inequality of two hashes."""
     return ~_col(before).eqNullSafe(_col(after))

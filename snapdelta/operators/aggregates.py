@@ -83,17 +83,16 @@ def reconcile(source: DataFrame, target: DataFrame, sum_cols: Sequence[str]) ->
     aggs, entries = [], []
     for metric, value in [("row_count", F.lit(1)), *[(f"{c}_sum", F.col(c)) for c in sum_cols]]:
         for name, wanted in (("source", True), ("target", False)):
-            total = F.sum(F.when(F.col("is_source") == wanted, value)).cast("double")
-            aggs.append(F.coalesce(total, F.lit(0.0)).alias(f"{metric}_{name}"))
+            total = F.sum(F.when(F.col("is_source") == wanted, value))
+            aggs.append(F.coalesce(total, F.lit(0)).alias(f"{metric}_{name}"))
+        # Totals are compared as they are; doubles are for display.
+        source, target = F.col(f"{metric}_source"), F.col(f"{metric}_target")
         entries.append(
             F.struct(
                 F.lit(metric).alias("metric"),
-                F.col(f"{metric}_source").alias("source"),
-                F.col(f"{metric}_target").alias("target"),
+                source.cast("double").alias("source"),
+                target.cast("double").alias("target"),
+                (source == target).alias("matched"),
             )
         )
-    return (
-        both.agg(*aggs)
-        .select(F.inline(F.array(*entries)))
-        .withColumn("matched", F.col("source") == F.col("target"))
-    )
+    return both.agg(*aggs).select(F.inline(F.array(*entries)))

@@ -214,10 +214,13 @@ def attach_payload(events: DataFrame, cur: DataFrame, prev: DataFrame) -> DataFr
         F.struct(F.lit(False).alias("is_after"), F.col("row_hash_before").alias("row_hash")),
         F.struct(F.lit(True).alias("is_after"), F.col("row_hash_after").alias("row_hash")),
     )
-    versions = wanted.select("*", F.inline(sides)).filter(F.col("row_hash").isNotNull())
-    rows = payload(cur, True).unionByName(payload(prev, False))
+    versions = wanted.select("*", F.inline(sides)).alias("v")
+    rows = payload(cur, True).unionByName(payload(prev, False)).alias("p")
+    # A missing hash is a value like any other, and events without a payload stay.
+    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*KEYS, "row_hash", "is_after")]
     return (
-        versions.join(rows, [*KEYS, "row_hash", "is_after"], "inner")
+        versions.join(rows, same, "left")
+        .select(*[F.col(f"v.{c}").alias(c) for c in wanted.columns], "v.is_after", "p.data")
         .groupBy(*wanted.columns)
         .agg(
             F.max(F.when(~F.col("is_after"), F.col("data"))).alias("data_before"),

@@ -12,6 +12,12 @@ from pyspark.sql import types as T
 from ..functions import as_date, load_timestamp, primary_key, row_hash, row_json, text_columns
 from ..functions.hashing import STAGING_SEPARATOR
 
+#: Fractions and zones that payloads may have or lack.
+PARSE_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
+}
+
 
 def to_envelope(
     df: DataFrame,
@@ -39,9 +45,10 @@ def to_envelope(
 
 
 def parse_payload(df: DataFrame, schema: str | T.StructType, data_col: str = "data") -> DataFrame:
-    """Replace the JSON payload by its typed fields; a field that does not parse is NULL."""
+    """Replace the JSON payload by its typed fields; a field that does not parse is NULL.
+    Timestamps may have microseconds, milliseconds or neither."""
     kept = [c for c in df.columns if c != data_col]
-    parsed = F.from_json(F.col(data_col), schema, {"mode": "PERMISSIVE"})
+    parsed = F.from_json(F.col(data_col), schema, {"mode": "PERMISSIVE", **PARSE_OPTIONS})
     return df.select(*kept, parsed.alias("_payload")).select(*kept, "_payload.*")
 
 

@@ -137,17 +137,19 @@ def default_limits(tables: DataFrame) -> DataFrame:
 
 
 def check_quality(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Quality metrics against per-table limits: ``quality_score_min, duplicates_max``."""
-    return metrics.join(thresholds, "table_name", "inner").select(
+    """Quality metrics against per-table limits: ``quality_score_min, duplicates_max``. A
+    table without limits, or without a value to compare, fails."""
+    return metrics.join(thresholds, "table_name", "left").select(
         "ref_date",
         "table_name",
         "quality_score",
         "quality_score_min",
         "duplicate_count",
         "duplicates_max",
-        (
+        F.coalesce(
             (F.col("quality_score") >= F.col("quality_score_min"))
-            & (F.col("duplicate_count") <= F.col("duplicates_max"))
+            & (F.col("duplicate_count") <= F.col("duplicates_max")),
+            F.lit(False),
         ).alias("passed"),
     )
 

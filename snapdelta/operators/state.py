@@ -17,15 +17,21 @@ STATE_COLUMNS = column_names(CURRENT_STATE)
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], latest: bool = True) -> DataFrame:
     """One row per key: the greatest (or least) in ``order_cols``, ties settled by
-    the remaining columns.
+    the remaining columns (those that have no order, such as maps, by their JSON).
 
     An aggregate rather than a window: it combines on the map side, so a key
     with very many rows never has to be sorted in one task.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [*order_cols, *[c for c in rest if c not in order_cols]]
-    pick = F.max if latest else F.min
-    picked = df.groupBy(*keys).agg(pick(F.struct(*ordered)).alias("_row"))
+    unordered = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    if unordered & set(ordered):
+        pick = F.max_by if latest else F.min_by
+        order = F.struct(*[F.to_json(c).alias(c) if c in unordered else F.col(c) for c in ordered])
+        picked = df.groupBy(*keys).agg(pick(F.struct(*ordered), order).alias("_row"))
+    else:
+        pick = F.max if latest else F.min
+        picked = df.groupBy(*keys).agg(pick(F.struct(*ordered)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 

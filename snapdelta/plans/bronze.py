@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import build_schema
+from ..functions import build_schema, error_text
 from ..operators.aggregates import observed_count
 from ..operators.envelope import to_envelope, with_ingestion_metadata, with_snapshot_hash
 from ..operators.ledger import (
@@ -70,17 +70,19 @@ def ingest_table(reader: Reader, spec: TableSpec, base: str, ref_date: str | dt.
     The day's partition is replaced, so a rerun does not add rows.
     """
     df = with_ingestion_metadata(reader(spec), spec.source_type, spec.full_name, ref_date)
-    path = layer_path(base, "bronze", spec.source_type, spec.table.lower())
+    path = layer_path(base, "bronze", spec.source_type, spec.entity)
     return write_counted(
         df, f"ingest_{spec.name}", lambda d: overwrite_partition(d, path, {"reference_date": str(ref_date)})
     )
 
 
 def ingest_envelope(
-    reader: Reader, spec: TableSpec, base: str, ref_date: str | dt.date, null_safe: bool = False
+    reader: Reader, spec: TableSpec, base: str, ref_date: str | dt.date, null_safe: bool | None = None
 ) -> int:
-    """One table's snapshot of a day as key, hash and JSON payload; returns its rows."""
-    rows = to_envelope(reader(spec), spec.full_name, spec.primary_keys, ref_date, null_safe)
+    """One table's snapshot of a day as key, hash and JSON payload; returns its rows. The
+    hash sees a value move between NULL columns unless the spec (or ``null_safe``) says no."""
+    safe = spec.null_safe if null_safe is None else null_safe
+    rows = to_envelope(reader(spec), spec.full_name, spec.primary_keys, ref_date, safe)
     values = {"ref_date": str(ref_date), "table_name": spec.full_name}
     return write_counted(
         rows, f"envelope_{spec.name}", lambda d: overwrite_partition(d, snapshot_path(base), values)
@@ -101,11 +103,11 @@ def load_envelope(
     They go to the envelope layer, or in batches of ``chunk_rows`` to a
     relational target.
     """
-    typed = read_layer(spark, base, "bronze", spec.source_type, spec.table.lower(), ref_date)
+    typed = read_layer(spark, base, "bronze", spec.source_type, spec.entity, ref_date)
     business = typed.drop(*BRONZE_METADATA)
     if target is None:
         return ingest_envelope(lambda _: business, spec, base, ref_date)
-    rows = to_envelope(business, spec.full_name, spec.primary_keys, ref_date)
+    rows = to_envelope(business, spec.full_name, spec.primary_keys, ref_date, spec.null_safe)
     return write_counted(rows, f"load_{spec.name}", lambda d: write_jdbc(d, target, target_table, chunk_rows))
 
 
@@ -141,7 +143,7 @@ def ingest_tables(
         try:
             return row(spec, SUCCESS, row_count=load(reader, spec, base, day))
         except Exception as e:
-            return row(spec, FAILED, error=str(e).splitlines()[0][:1000])
+            return row(spec, FAILED, error=error_text(e))
 
     if not todo:
         return []

@@ -31,6 +31,13 @@ class TableSpec:
     owner: str | None = None
     pii: bool = False
     retention_days: int = DEFAULT_RETENTION_DAYS
+    null_safe: bool = True
+    unique_keys: bool = False
+
+    @property
+    def entity(self) -> str:
+        """Name of the table's folder in a layer; tables of two schemas never share one."""
+        return self.full_name.lower()
 
     @property
     def full_name(self) -> str:
@@ -83,6 +90,8 @@ def _spec(entry: Mapping) -> TableSpec:
         owner=metadata["owner"],
         pii=bool(metadata.get("pii", False)),
         retention_days=int(metadata.get("retention_days", DEFAULT_RETENTION_DAYS)),
+        null_safe=bool(ingestion.get("null_safe", True)),
+        unique_keys=bool(ingestion.get("unique_keys", False)),
     )
 
 

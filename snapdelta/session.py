@@ -66,6 +66,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a finished folder to ``target``, instead of what is there."""
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(old.getParent())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staged result that is no longer read."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import struct_of
+from ..session import delete_path, replace_path
 from ..sources.tables import layer_path, partition_path
 
 
@@ -67,9 +69,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.date]) -> str:
-    """Replace one partition as a whole, also when ``df`` is empty now."""
+    """Replace one partition as a whole, also when ``df`` is empty now.
+
+    Rows are written beside it, under a name readers skip, and take the partition's
+    place once they are complete: a write that fails leaves the old rows.
+    """
     target = partition_path(path, values)
-    df.drop(*values).write.mode("overwrite").parquet(target)
+    beside = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    try:
+        df.drop(*values).write.parquet(beside)
+        replace_path(df.sparkSession, beside, target)
+    finally:
+        delete_path(df.sparkSession, beside)
     return target
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import build_schema, cast_to
+from ..functions import build_schema, cast_to, error_text
 
 FETCH_SIZE = 10000
 
@@ -172,13 +172,15 @@ def list_columns(
     return _lower_names(read_query(source, sql)).orderBy("table_name", "column_id")
 
 
-def probe(source: JdbcSource, sql: str = "SELECT 1 AS ok") -> DataFrame:
+def probe(source: JdbcSource, sql: str | None = None) -> DataFrame:
     """One row telling whether the source answers: ``reachable, error, checked_at``."""
     error = None
+    if sql is None:
+        sql = "SELECT 1 AS ok" + (" FROM dual" if source.url.lower().startswith("jdbc:oracle") else "")
     try:
         reachable = not source.load(dbtable=_subquery(sql, "probe")).isEmpty()
     except Exception as e:  # the failure is the result
-        reachable, error = False, str(e).splitlines()[0][:500]
+        reachable, error = False, error_text(e)
     rows = [(source.url, reachable, error)]
     return source.spark.createDataFrame(rows, "url STRING, reachable BOOLEAN, error STRING").withColumn(
         "checked_at", F.current_timestamp()

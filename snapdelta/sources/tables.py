@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import as_date
+from ..functions import as_date, error_text
 from ..operators.envelope import has_columns, rename_project
 from ..session import new_path, path_exists
 
@@ -30,8 +30,13 @@ def read_layer(
     date_col: str = "reference_date",
 ) -> DataFrame:
     """One entity of a layer; only the partitions of ``ref_date`` if given."""
-    df = spark.read.parquet(layer_path(base, layer, source, entity))
-    return df if ref_date is None else df.filter(F.col(date_col) == as_date(ref_date))
+    path = layer_path(base, layer, source, entity)
+    if ref_date is None:
+        return spark.read.parquet(path)
+    day = partition_path(path, {date_col: ref_date})
+    if not path_exists(spark, day):
+        return spark.read.parquet(path).filter(F.col(date_col) == as_date(ref_date))
+    return spark.read.option("basePath", path).parquet(day)
 
 
 def partition_path(path: str, values: Mapping[str, object]) -> str:
@@ -101,15 +106,19 @@ def list_catalog_tables(spark: SparkSession, database: str, like: str | None = N
     return tables.orderBy("table_name")
 
 
-def first_available(candidates: Iterable[Callable[[], DataFrame]]) -> DataFrame | None:
-    """The first candidate that can be read and has rows; None if there is none."""
+def first_available(
+    candidates: Iterable[Callable[[], DataFrame]], errors: list[str] | None = None
+) -> DataFrame | None:
+    """The first candidate that can be read and has rows; None if there is none. Why the
+    others could not be read is added to ``errors``."""
     for candidate in candidates:
         try:
             df = candidate()
             if not df.isEmpty():
                 return df
-        except Exception:  # an unreadable candidate is skipped
-            continue
+        except Exception as e:  # an unreadable candidate is skipped
+            if errors is not None:
+                errors.append(error_text(e))
     return None
 
 
@@ -143,5 +152,5 @@ def scan_catalog(
                 continue
             found.append(ScannedTable(owner, name, "MAPPED", rename_project(df, mapping, loaded_at_col)))
         except Exception as e:
-            found.append(ScannedTable(owner, name, "FAILED", error=str(e).splitlines()[0][:500]))
+            found.append(ScannedTable(owner, name, "FAILED", error=error_text(e)))
     return found

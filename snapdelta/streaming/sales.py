@@ -1,7 +1,7 @@
 """Incremental refresh of the sales metrics.
 
 Each micro-batch is reduced to partial results per day and customer, written
-under its batch number. Reading combines the partials. Both metrics come from
+under the query's id and its batch number. Reading combines the partials. Both metrics come from
 the same partials, exactly (distinct customers included), and the stream keeps no
 state: there is no watermark to choose and nothing to lose with an executor. A
 batch that is repeated replaces its own partials.
@@ -9,12 +9,15 @@ batch that is repeated replaces its own partials.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.layers import overwrite_partition
+from ..sources.tables import partition_path
 
 PARTIAL_KEYS = ["order_date", "customer_id"]
 
@@ -45,10 +48,12 @@ def sales_partials(orders: DataFrame) -> DataFrame:
 
 def stream_daily_sales(orders: DataFrame, partials_path: str, checkpoint: str) -> StreamingQuery:
     """Start adding the stream's new orders to the partials; stops when all
-    available input is processed, ready to be started again."""
+    available input is processed, ready to be started again. A new checkpoint is a new
+    query that begins at the start; its partials do not mix with those of another."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partition(sales_partials(batch), partials_path, {"batch_id": batch_id})
+        own = {"query_id": query_id(batch.sparkSession, checkpoint), "batch_id": batch_id}
+        overwrite_partition(sales_partials(batch), partials_path, own)
 
     return (
         orders.writeStream.foreachBatch(write_batch)
@@ -58,8 +63,15 @@ def stream_daily_sales(orders: DataFrame, partials_path: str, checkpoint: str) -
     )
 
 
-def read_partials(spark: SparkSession, partials_path: str) -> DataFrame:
-    return spark.read.parquet(partials_path)
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id that a streaming query keeps as long as it has its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def read_partials(spark: SparkSession, partials_path: str, checkpoint: str) -> DataFrame:
+    """All partials of the query that has this checkpoint."""
+    own = partition_path(partials_path, {"query_id": query_id(spark, checkpoint)})
+    return spark.read.option("basePath", partials_path).parquet(own)
 
 
 def daily_sales_from_partials(partials: DataFrame) -> DataFrame:

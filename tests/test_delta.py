@@ -165,3 +165,15 @@ def test_missing_hash_is_a_value_not_an_absence(spark, unique):
     cur = spark.createDataFrame([("t", "1", None), ("t", "2", "h"), ("t", "3", None)], schema)
     prev = spark.createDataFrame([("t", "1", None), ("t", "2", None)], schema)
     assert ops(delta.detect_delta(cur, prev, DAY, unique)) == [("INSERT", "3"), ("UPDATE", "2")]
+
+
+def test_payloads_leave_no_event_behind(spark, snap):
+    """A missing hash is a value; an event whose payload is gone stays without one."""
+    cur = snap([("1", "a", "x"), ("2", "b", "x")], DAY).withColumn("row_hash", F.expr("IF(primary_key = '1', NULL, row_hash)"))
+    prev = snap([("1", "z", "x"), ("3", "c", "x")], BEFORE)
+    found = delta.detect_delta(cur.drop("data"), prev.drop("data"), DAY)
+    got = delta.attach_payload(found, cur, prev.filter("primary_key <> '3'"))
+    data = {r["primary_key"]: (r["operation_type"], r["data_before"], r["data_after"]) for r in got.collect()}
+    assert data["1"] == ("UPDATE", '{"id":"1","a":"z","b":"x"}', '{"id":"1","a":"a","b":"x"}')
+    assert data["2"][0] == "INSERT" and data["2"][1] is None and data["2"][2] is not None
+    assert data["3"] == ("DELETE", None, None)

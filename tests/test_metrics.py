@@ -120,3 +120,9 @@ def test_schemas_parse(spark):
             assert struct_of(ddl).names == column_names(ddl)
     assert struct_of(RUN_METRICS).names[-1] == "duration_seconds"
     assert struct_of(DELTA_EVENTS).names[3] == "operation_type" and "is_active" in struct_of(CURRENT_STATE).names
+
+
+def test_reconcile_compares_exact_totals(spark, rows):
+    side = lambda v: spark.sql(f"SELECT CAST('{v}' AS DECIMAL(20,2)) AS amount")
+    got = aggregates.reconcile(side("9007199254740993.00"), side("9007199254740992.00"), ["amount"])
+    assert rows(got, "metric", "matched") == [("amount_sum", False), ("row_count", True)]

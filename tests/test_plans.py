@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from snapdelta.operators.envelope import to_envelope
+from snapdelta.operators.envelope import parse_payload, to_envelope
 from snapdelta.operators.ledger import finished_loads, read_ledger, read_runs, run_report
 from snapdelta.plans import bronze, daily, gold, silver
 from snapdelta.plans.specs import TableSpec, load_specs, select_specs, transformation_steps
@@ -67,7 +67,7 @@ def test_typed_ingest_is_repeatable(spark, tmp_path, rows):
     # Done loads are skipped, failed ones tried again; force repeats without adding rows.
     assert [r["table_name"] for r in bronze.ingest_tables(spark, read, SPECS, base, D1)] == ["ITEMS"]
     assert len(bronze.ingest_tables(spark, read, SPECS, base, D1, force=True)) == 2
-    got = read_layer(spark, base, "bronze", "files", "orders", D1)
+    got = read_layer(spark, base, "bronze", "files", "sales.orders", D1)
     assert rows(got, "id", "v", "_source", "_source_table") == [
         (1, "a", "files", "SALES.ORDERS"), (2, "b", "files", "SALES.ORDERS")]
     # Envelopes from the typed snapshot hold business columns only.
@@ -192,8 +192,8 @@ def test_silver_day_is_repeatable(spark, tmp_path, rows):
     read = reader({"ORDERS": orders(spark, [(1, "a"), (1, "a"), (2, "b")])})
     bronze.ingest_tables(spark, read, SPECS[:1], base, D1)
     for _ in range(2):
-        assert silver.write_silver_day(spark, base, "files", "orders", D1) == 2
-    got = read_layer(spark, base, "silver", "files", "orders", D1)
+        assert silver.write_silver_day(spark, base, "files", "sales.orders", D1) == 2
+    got = read_layer(spark, base, "silver", "files", "sales.orders", D1)
     assert rows(got, "id", "v") == [(1, "a"), (2, "b")] and "row_hash" in got.columns
 
 
@@ -223,3 +223,60 @@ def test_interrupted_day_is_repeated(spark, tmp_path, rows, monkeypatch):
     finished = finished_loads(read_ledger(spark, bronze.ledger_path(base)), [D1, D2])
     assert (D2, "silver", "current_state") not in finished and (D1, "silver", "current_state") in finished
     assert rows(daily.run_day(spark, second, spec, base, D2), "total_updates") == [(1,)]
+
+
+def test_two_schemas_with_one_table_name(spark, tmp_path, rows):
+    base = str(tmp_path)
+    specs = [TableSpec("a", "ORDERS", "S1", "files", ("id",)), TableSpec("b", "ORDERS", "S2", "files", ("id",))]
+    tables = {"S1": orders(spark, [(1, "a"), (2, "b"), (3, "c")]), "S2": orders(spark, [(1, "x"), (9, "y")])}
+    result = bronze.ingest_tables(spark, lambda s: tables[s.schema], specs, base, D1)
+    assert sorted(r["row_count"] for r in result) == [2, 3]
+    for spec, n in zip(specs, (3, 2), strict=True):
+        assert read_layer(spark, base, "bronze", "files", spec.entity, D1).count() == n
+        assert bronze.load_envelope(spark, spec, base, D1) == n
+
+
+def test_failed_reload_keeps_the_rows(spark, tmp_path, rows):
+    base, spec = str(tmp_path), SPECS[:1]
+    bronze.ingest_tables(spark, reader({"ORDERS": orders(spark, [(1, "a"), (2, "b")])}), spec, base, D1)
+    dying = orders(spark, [(1, "a"), (0, "b")]).withColumn("id", F.expr("IF(id = 0, raise_error('gone'), id)").cast("int"))
+    result = bronze.ingest_tables(spark, reader({"ORDERS": dying}), spec, base, D1, force=True)
+    assert [r["status"] for r in result] == ["FAILED"] and "gone" in result[0]["error_message"]
+    assert read_layer(spark, base, "bronze", "files", "sales.orders", D1).count() == 2
+    # An empty load still replaces the day.
+    bronze.ingest_tables(spark, reader({"ORDERS": orders(spark, [(1, "a")]).limit(0)}), spec, base, D1, force=True)
+    assert read_layer(spark, base, "bronze", "files", "sales.orders", D1).count() == 0
+
+
+@pytest.mark.parametrize("error", [AssertionError(), RuntimeError("x" * 5000 + "\nsecond line")])
+def test_errors_are_kept_whole(spark, tmp_path, error):
+    def read(spec):
+        if spec.table == "ITEMS":
+            raise error
+        return orders(spark, [(1, "a")])
+
+    result = bronze.ingest_tables(spark, read, SPECS, str(tmp_path), D1)
+    assert sorted((r["table_name"], r["status"]) for r in result) == [("ITEMS", "FAILED"), ("ORDERS", "SUCCESS")]
+    message = next(r["error_message"] for r in result if r["status"] == "FAILED")
+    assert message == f"{type(error).__name__}: {error}"
+
+
+def test_value_moving_between_null_columns(spark, tmp_path, rows):
+    base, spec = str(tmp_path), [TableSpec("t", "T", None, "files", ("id",))]
+    one, two = (spark.createDataFrame([r], "id INT, a STRING, b STRING") for r in ((1, "x", None), (1, None, "x")))
+    daily.run_day(spark, lambda _: one, spec, base, D1)
+    assert rows(daily.run_day(spark, lambda _: two, spec, base, D2), "total_updates") == [(1,)]
+    assert rows(silver.read_state(spark, base, D2), "data") == [('{"id":1,"b":"x"}',)]
+
+
+def test_rows_a_microsecond_apart(spark, rows):
+    df = spark.sql("SELECT DATE '2024-01-01' AS reference_date, 1 AS id, t FROM VALUES "
+                   "(TIMESTAMP '2024-01-01 00:00:00.000001'), (TIMESTAMP '2024-01-01 00:00:00.000002') AS v(t)")
+    assert silver.silver_dedupe(df).count() == 2
+    snaps = to_envelope(df.drop("reference_date").withColumn("n", F.col("t").cast("timestamp_ntz")), "t", ["t"], D1)
+    assert snaps.select("row_hash", "data").distinct().count() == 2
+    back = silver.typed_silver(snaps, D1, "t", "id INT, t TIMESTAMP, n TIMESTAMP_NTZ", ["t"])
+    assert rows(back.select(F.col("t").cast("string"), F.col("n").cast("string"))) == [
+        ("2024-01-01 00:00:00.000001",) * 2, ("2024-01-01 00:00:00.000002",) * 2]
+    old = spark.createDataFrame([('{"t":"2024-01-01T00:00:00.123Z"}',)], "data STRING")
+    assert rows(parse_payload(old, "t TIMESTAMP").select(F.col("t").cast("string"))) == [("2024-01-01 00:00:00.123",)]

@@ -76,3 +76,10 @@ def test_unparsable_text_agrees_with_casting(spark):
     for kind in ("int", "bigint", "decimal(9,2)", "double", "date", "boolean"):
         want = df.filter(F.col("t").isNotNull() & F.col("t").try_cast(kind).isNull()).count()
         assert Q.validate_schema(df, {"t": kind}).first().invalid_count == want, kind
+
+
+def test_table_without_limits_fails(spark, rows):
+    metrics = spark.createDataFrame([("d", "a", 100.0, 0), ("d", "b", 10.0, 5)],
+                                    "ref_date STRING, table_name STRING, quality_score DOUBLE, duplicate_count BIGINT")
+    limits = Q.default_limits(metrics.filter("table_name = 'a'"))
+    assert rows(Q.check_quality(metrics, limits), "table_name", "passed") == [("a", True), ("b", False)]

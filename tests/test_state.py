@@ -63,3 +63,10 @@ def test_latest_by_key_is_deterministic(spark, rows):
     assert rows(state.latest_by_key(df, ["k"], ["v"])) == [(1, 5, "y"), (2, None, "n")]
     assert rows(state.latest_by_key(df, ["k"], ["v"], latest=False)) == [(1, 4, "z"), (2, None, "n")]
     assert state.latest_by_key(df, ["k"], ["v"]).columns == df.columns
+
+
+def test_latest_by_key_carries_maps(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)), (2, 5, map('c', 3)) AS t(k, v, m)")
+    got = {r["k"]: (r["v"], r["m"]) for r in state.latest_by_key(df, ["k"], ["v"]).collect()}
+    assert got == {1: (2, {"b": 2}), 2: (5, {"c": 3})}
+    assert state.latest_by_key(df, ["k"], ["v"], latest=False).filter("k = 1").first()["v"] == 1
