@@ -154,12 +154,12 @@ def detect_delta_range(
     keys = ["ref_date", *KEYS]
     before = snapshots.withColumn("ref_date", F.date_add("ref_date", 1))
     if first is None or last is None:
-        after = snapshots
-        before = before.join(snapshots.select("ref_date").distinct(), "ref_date", "left_semi")
-    else:
-        in_range = F.col("ref_date").between(as_date(first), as_date(last))
-        after, before = snapshots.filter(in_range), before.filter(in_range)
-    return _events(_compare(after, before, keys, unique_keys))
+        # A day without a snapshot deletes nothing: its events go, not the rows before them.
+        # One row per calendar day is a side of a known, small size.
+        days = F.broadcast(snapshots.select("ref_date").distinct())
+        return _events(_compare(snapshots, before, keys, unique_keys)).join(days, "ref_date", "left_semi")
+    in_range = F.col("ref_date").between(as_date(first), as_date(last))
+    return _events(_compare(snapshots.filter(in_range), before.filter(in_range), keys, unique_keys))
 
 
 def delta_inserts(cur: DataFrame, prev: DataFrame, ref_date: str | dt.date, unique_keys: bool = False) -> DataFrame:

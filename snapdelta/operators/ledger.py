@@ -116,10 +116,14 @@ def successful_loads(ledger: DataFrame) -> DataFrame:
 def finished_loads(
     ledger: DataFrame, days: Sequence[dt.date], always: Sequence[str] = ()
 ) -> set[Load]:
-    """Successful loads of some days (and of the ``always`` tables on any day) as a
-    set: a few rows per table, read once to steer a run."""
-    rows = ledger.filter(F.col("ref_date").isin(*days) | F.col("table_name").isin(*always))
-    return {tuple(r) for r in successful_loads(rows).collect()}
+    """Successful loads of some days as a set, read once to steer a run: a few rows per
+    table. Of the ``always`` tables it also has the newest load up to the first of the
+    days; how many there were before does not matter."""
+    listed = F.col("ref_date").isin(*days)
+    steering = F.col("table_name").isin(*always) & (F.col("ref_date") <= F.lit(min(days)))
+    done = successful_loads(ledger.filter(listed | steering))
+    newest = done.filter(steering).groupBy("schema_name", "table_name").agg(F.max("ref_date").alias("ref_date"))
+    return {tuple(r) for r in done.filter(listed).unionByName(newest.select(*LOAD_KEYS)).collect()}
 
 
 def pending_loads(ledger: DataFrame, wanted: DataFrame, force: bool = False) -> DataFrame:

@@ -156,12 +156,14 @@ def process_silver(
     cur, prev = (read_snapshots(spark, base, d).filter(listed) for d in (day, previous_day))
 
     staged = new_path(spark, "events-found")
-    found = stage(detect_delta(cur.drop("data"), prev.drop("data"), day, unique_keys), staged)
-    events = attach_payload(found, cur, prev).withColumn("detected_at", F.current_timestamp())
-    n_events = write_counted(
-        align(events, DELTA_EVENTS), "events", lambda d: overwrite_partition(d, events_path(base), {"ref_date": day})
-    )
-    delete_path(spark, staged)
+    try:
+        found = stage(detect_delta(cur.drop("data"), prev.drop("data"), day, unique_keys), staged)
+        events = attach_payload(found, cur, prev).withColumn("detected_at", F.current_timestamp())
+        n_events = write_counted(
+            align(events, DELTA_EVENTS), "events", lambda d: overwrite_partition(d, events_path(base), {"ref_date": day})
+        )
+    finally:
+        delete_path(spark, staged)
 
     if finished is None:
         finished = finished_loads(read_ledger(spark, ledger_path(base)), [previous_day], [STATE_TABLE])
@@ -171,17 +173,24 @@ def process_silver(
         state = maintain_current_state(old, cur, day, unique_keys=unique_keys)
     else:
         old = read_state(spark, base, state_date)
-        mine, others = old.filter(listed), old.filter(~listed)
-        if state_date == previous_day and _all_loaded(finished, previous_day, tables):
-            state = apply_delta(mine, read_events(spark, base, day), day)
-        else:
-            state = maintain_current_state(mine, cur, day, unique_keys=unique_keys)
-        state = state.unionByName(others)
+        # Each table goes its own way: one that missed yesterday does not hold up the others.
+        carried = _loaded(finished, previous_day, tables) if state_date == previous_day else []
+        rest = [t for t in tables if t not in carried]
+        state = old.filter(~listed)
+        if carried:
+            known = F.col("table_name").isin(*carried)
+            changes = read_events(spark, base, day).filter(known)
+            state = state.unionByName(apply_delta(old.filter(known), changes, day))
+        if rest:
+            missed = F.col("table_name").isin(*rest)
+            whole = maintain_current_state(old.filter(missed), cur.filter(missed), day, unique_keys=unique_keys)
+            state = state.unionByName(whole)
     overwrite_partition(align(state, CURRENT_STATE), state_path(base), {"state_date": day})
     record_ingestion(spark, ledger_path(base), [ledger_row(day, SILVER_SCHEMA, STATE_TABLE, SUCCESS, started)])
     return n_events
 
 
-def _all_loaded(finished: set[Load], day: dt.date, tables: Sequence[str]) -> bool:
-    """Whether every table has a successful load of ``day``."""
-    return set(tables) <= {f"{schema}.{table}" if schema else table for d, schema, table in finished if d == day}
+def _loaded(finished: set[Load], day: dt.date, tables: Sequence[str]) -> list[str]:
+    """The tables that have a successful load of ``day``."""
+    done = {f"{schema}.{table}" if schema else table for d, schema, table in finished if d == day}
+    return [t for t in tables if t in done]

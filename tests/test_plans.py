@@ -280,3 +280,37 @@ def test_rows_a_microsecond_apart(spark, rows):
         ("2024-01-01 00:00:00.000001",) * 2, ("2024-01-01 00:00:00.000002",) * 2]
     old = spark.createDataFrame([('{"t":"2024-01-01T00:00:00.123Z"}',)], "data STRING")
     assert rows(parse_payload(old, "t TIMESTAMP").select(F.col("t").cast("string"))) == [("2024-01-01 00:00:00.123",)]
+
+
+def test_each_table_takes_its_own_way_after_a_failure(spark, tmp_path, rows, monkeypatch):
+    """Items miss a day; on the next one orders still go by their events alone."""
+    base = str(tmp_path)
+    run = lambda day, o, i: daily.run_day(
+        spark, reader({"ORDERS": orders(spark, o), "ITEMS": i and items(spark, i)}), SPECS, base, day)
+    run(D1, [(1, "a"), (2, "b")], [(1, 1, "x")])
+    run(D2, [(1, "a"), (2, "c")], None)
+    seen = {}
+    for name in ("apply_delta", "maintain_current_state"):
+        real = getattr(silver, name)
+
+        def spy(old, changes, *args, _name=name, _real=real, **kw):
+            seen[_name] = {r[0] for r in old.select("table_name").distinct().collect()}
+            return _real(old, changes, *args, **kw)
+
+        monkeypatch.setattr(silver, name, spy)
+    run(D3, [(1, "a"), (3, "d")], [(1, 1, "y"), (2, 1, "z")])
+    assert seen == {"apply_delta": {"SALES.ORDERS"}, "maintain_current_state": {"ITEMS"}}
+    state = silver.read_state(spark, base, D3)
+    assert rows(state, "table_name", "primary_key", "is_active", "first_seen_date", "last_seen_date") == [
+        ("ITEMS", "1|||1", 1, D1, D3), ("ITEMS", "2|||1", 1, D3, D3), ("SALES.ORDERS", "1", 1, D1, D3),
+        ("SALES.ORDERS", "2", 0, D1, D2), ("SALES.ORDERS", "3", 1, D3, D3)]
+
+
+def test_newest_state_is_one_ledger_row(spark, tmp_path):
+    from snapdelta.operators.ledger import SUCCESS, ledger_row, now, record_ingestion
+
+    path = str(tmp_path / "ledger")
+    days = [D1 - dt.timedelta(days=i) for i in range(20)]
+    record_ingestion(spark, path, [ledger_row(d, "silver", "current_state", SUCCESS, now()) for d in days])
+    got = finished_loads(read_ledger(spark, path), [D3, D2], ["current_state"])
+    assert got == {(D1, "silver", "current_state")}
