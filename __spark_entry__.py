@@ -40,7 +40,8 @@ from snapdelta.operators.envelope import (
 )
 from snapdelta.plans.bronze import ingest_table, ingest_tables, load_envelope, snapshot_path
 from snapdelta.plans.daily import run_day
-from snapdelta.plans.gold import read_change_metrics, read_quality_metrics
+from snapdelta.plans.gold import gold_path, read_change_metrics, read_quality_metrics
+from snapdelta.plans.lake import read_contract_results, run_lake
 from snapdelta.plans.silver import silver_dedupe, silver_transform, typed_silver
 from snapdelta.plans.specs import TableSpec
 from snapdelta.schemas import INGESTION_CONTROL, RUN_METRICS, TABLE_METADATA
@@ -1470,6 +1471,69 @@ def clustered_lines(spark, sf_dir):
     )
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake job from a config over orders and line items; returns its folder."""
+    base = new_path(spark, "lake")
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
+    )
+    tables = {"orders": orders, "lineitem": _lines(spark, sf_dir)}
+
+    def declared(name: str, key: str) -> dict:
+        return {
+            "name": name,
+            "source": {"type": "files", "schema": "sales", "table": name},
+            "ingestion": {"mode": "snapshot_full", "reference_date": "D-1"},
+            "primary_keys": [key],
+            "quality": {"row_count_min": 10, "freshness_hours": 24},
+            "metadata": {"domain": "sales", "owner": "data"},
+        }
+
+    sales = {"group_by": ["order_date"], "metrics": metrics.DAILY_SALES_METRICS}
+    config = {
+        "bronze_tables": [declared("orders", "order_id"), declared("lineitem", "l_orderkey")],
+        "silver_transformations": {"orders": {"transformations": [{"type": "deduplicate", "subset": ["order_id"]}]}},
+        "gold_metrics": {
+            "daily_sales_summary": {"source": "silver.sales.orders", "aggregations": sales},
+            "customer_ltv": {"source": "silver.sales.orders", "type": "customer_ltv"},
+            "lines": {"source": "silver.sales.lineitem", "aggregations": {"group_by": ["l_returnflag"], "metrics": {}}},
+        },
+    }
+    run_lake(spark, lambda s: tables[s.table], config, base, REF_DAY)
+    return base
+
+
+@query("lake_run_sales", SALES_SQL)
+def lake_run_sales(spark, sf_dir):
+    """Written gold of the lake job."""
+    path = gold_path(_lake(spark, sf_dir), "daily_sales_summary")
+    return spark.read.parquet(path).drop("ref_date")
+
+
+@query("lake_run_ltv", LTV_SQL)
+def lake_run_ltv(spark, sf_dir):
+    return spark.read.parquet(gold_path(_lake(spark, sf_dir), "customer_ltv")).drop("ref_date")
+
+
+@query(
+    "lake_run_contracts",
+    """
+    SELECT 'orders' AS table_name, 'row_count_min' AS "check", CAST(count(*) AS DOUBLE) AS actual, 10.0::DOUBLE AS expected,
+           true AS passed FROM orders
+    UNION ALL SELECT 'orders', 'duplicates_max', 0, 0, true
+    UNION ALL SELECT 'lineitem', 'row_count_min', count(*), 10, true FROM lineitem
+    UNION ALL SELECT 'lineitem', 'duplicates_max', count(*) - count(DISTINCT l_orderkey), 0, false FROM lineitem
+    """,
+)
+def lake_run_contracts(spark, sf_dir):
+    """Line items have many rows per order, so that table fails and stays out of silver."""
+    rows = read_contract_results(spark, _lake(spark, sf_dir), PREV_DAY)
+    return rows.filter("check <> 'freshness_hours'").select("table_name", "check", "actual", "expected", "passed")
+
+
 @query(
     "ingest_two_schemas",
     """

@@ -6,12 +6,12 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import struct_of
-from ..session import delete_path, replace_path
+from ..session import delete_path, path_exists, replace_path
 from ..sources.tables import layer_path, partition_path
 
 
@@ -84,6 +84,23 @@ def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.dat
     return target
 
 
+def expire_partitions(
+    spark: SparkSession, path: str, date_col: str, as_of: str | dt.date, days: int | None
+) -> list[dt.date]:
+    """Remove day partitions older than ``days`` before ``as_of``; returns their days. Only
+    folders are listed; None keeps everything."""
+    if days is None or not path_exists(spark, path):
+        return []
+    limit = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=days)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    found = [dt.date.fromisoformat(n.removeprefix(f"{date_col}=")) for n in names if n.startswith(f"{date_col}=2")]
+    expired = sorted(d for d in found if d < limit)
+    for day in expired:
+        delete_path(spark, partition_path(path, {date_col: day}))
+    return expired
+
+
 def align(df: DataFrame, target: str | T.StructType) -> DataFrame:
     """``df`` with the target's columns, order and types; missing ones are NULL."""
     schema = struct_of(target) if isinstance(target, str) else target

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from snapdelta.operators.envelope import parse_payload, to_envelope
 from snapdelta.operators.ledger import finished_loads, read_ledger, read_runs, run_report
-from snapdelta.plans import bronze, daily, gold, silver
+from snapdelta.plans import bronze, daily, gold, lake, silver
 from snapdelta.plans.specs import TableSpec, load_specs, select_specs, transformation_steps
 from snapdelta.sources.jdbc import JdbcSource
 from snapdelta.sources.tables import read_layer
@@ -314,3 +314,32 @@ def test_newest_state_is_one_ledger_row(spark, tmp_path):
     record_ingestion(spark, path, [ledger_row(d, "silver", "current_state", SUCCESS, now()) for d in days])
     got = finished_loads(read_ledger(spark, path), [D3, D2], ["current_state"])
     assert got == {(D1, "silver", "current_state")}
+
+
+def lake_config(limit):
+    table = {"source": {"type": "files", "schema": "SALES", "table": "ORDERS"}, "primary_keys": ["id"],
+             "ingestion": {"mode": "snapshot_full", "reference_date": "D-1"}, "quality": {"row_count_min": limit},
+             "metadata": {"domain": "sales", "owner": "data", "retention_days": 30}}
+    return {"bronze_tables": [{"name": "orders", **table}],
+            "silver_transformations": {"orders": {"transformations": [{"type": "clean_strings", "columns": ["v"]}]}},
+            "gold_metrics": {"by_v": {"source": "silver.sales.orders",
+                                      "aggregations": {"group_by": ["v"], "metrics": {"id": ["count"]}}}}}
+
+
+def test_lake_run(spark, tmp_path, rows):
+    base = str(tmp_path)
+    old = D1 - dt.timedelta(days=40)
+    read = reader({"ORDERS": orders(spark, [(1, " a"), (2, "a "), (3, "b")])})
+    bronze.ingest_tables(spark, read, lake.load_specs(lake_config(2)), base, old)
+    assert lake.run_lake(spark, read, lake_config(2), base, D2) == {"silver.orders": 3, "gold.by_v": 2}
+    # D-1: the rows belong to the day before, and the load past its retention is gone.
+    assert rows(spark.read.parquet(gold.gold_path(base, "by_v")), "ref_date", "v", "id_count") == [(D1, "a", 2), (D1, "b", 1)]
+    assert rows(spark.read.parquet(f"{base}/bronze/files/sales.orders"), "reference_date") == [(D1,)] * 3
+    # Too few rows the next day: recorded, and neither silver nor gold has the day.
+    few = reader({"ORDERS": orders(spark, [(1, "a")])})
+    assert lake.run_lake(spark, few, lake_config(2), base, D3) == {}
+    assert rows(lake.read_contract_results(spark, base, D2), "table_name", "check", "passed") == [
+        ("orders", "duplicates_max", True), ("orders", "row_count_min", False)]
+    assert lake.run_lake(spark, few, lake_config(2), base, D3, gate=False) == {"silver.orders": 1, "gold.by_v": 1}
+    # A table that cannot be read stops nothing.
+    assert lake.run_lake(spark, reader({"ORDERS": None}), lake_config(2), base, D3, force=True) == {}
