@@ -71,6 +71,9 @@ MEDALLION = {
     },
 }
 
+# Columns that the jobs partition a stored table by, where not by its day alone.
+STORED_BY = {"snapshot_raw": "ref_date, table_name", "current_state": "state_date"}
+
 
 def struct_of(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import catalog_type, sanitize_name, warehouse_type
 from ..functions.types import CATALOG_TYPES
-from ..schemas import MEDALLION
+from ..schemas import MEDALLION, STORED_BY
 
 # The text of a generated bronze table around its own columns.
 BRONZE_DDL_HEAD = "CREATE TABLE IF NOT EXISTS "
@@ -28,18 +28,23 @@ SETTINGS index_granularity = 8192;
 """
 
 
-def create_tables(spark: SparkSession, layer: str, prefix: str = "") -> list[str]:
+def create_tables(spark: SparkSession, layer: str, prefix: str = "", base: str | None = None) -> list[str]:
     """Create a layer's database and tables if absent; returns the table names.
 
-    Day tables are partitioned by ``ref_date``; the state has none of its own.
+    Partitions are those that the jobs write (state versions by ``state_date``). With
+    the jobs' ``base`` the tables lie over their folders and show what is stored there;
+    run ``MSCK REPAIR TABLE`` after a job to add its partitions.
     """
     database = f"{prefix}{layer}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for table, (columns, _) in MEDALLION[layer].items():
-        by_day = "PARTITIONED BY (ref_date)" if "ref_date" in columns else "PARTITIONED BY (table_name)"
+        stored_by = STORED_BY.get(table, "ref_date")
+        if stored_by not in columns and "," not in stored_by:
+            columns = f"{columns}, {stored_by} DATE"
+        where = f"LOCATION '{base.rstrip('/')}/{layer}/{table}'" if base else ""
         names.append(f"{database}.{table}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[-1]} ({columns}) USING parquet {by_day}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[-1]} ({columns}) USING parquet PARTITIONED BY ({stored_by}) {where}")
     return names
 
 

@@ -84,6 +84,22 @@ def test_create_tables(spark):
         for name in names:
             assert spark.table(name).isEmpty()
     assert [f.name for f in spark.table("lake_silver.delta_events").schema][-1] == "ref_date"
+    assert spark.table("lake_silver.current_state").columns[-1] == "state_date"
+
+
+def test_created_tables_show_what_the_jobs_write(spark, tmp_path):
+    from snapdelta.plans import daily
+    from snapdelta.plans.specs import TableSpec
+
+    base, rows = str(tmp_path), spark.range(3).selectExpr("id", "'a' AS v")
+    daily.run_day(spark, lambda _: rows, [TableSpec("t", "T", "S", "files", ("id",))], base, "2024-01-01")
+    for layer, table, n in (("bronze", "snapshot_raw", 3), ("silver", "delta_events", 3), ("silver", "current_state", 3),
+                            ("gold", "daily_change_metrics", 1)):
+        names = D.create_tables(spark, layer, prefix="job_", base=base)
+        name = f"job_{layer}.{table}"
+        assert name in names
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        assert spark.table(name).count() == n
 
 
 def test_schema_ddl(spark):
