@@ -1,0 +1,99 @@
+"""Every stage of the pipeline against brute force over its own input, and the registered queries."""
+
+import os
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from .test_texts import WORD, bag, counts, covered, ids_by_library
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Input and output rows of every stage, each written and read again."""
+    out, base = [], tmp_path_factory.mktemp("pipeline")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(base / str(i))
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        result = spark.read.parquet(path)
+        out.append((name, docs.columns, docs.orderBy("doc_id").collect(), result.columns, result.collect()))
+        docs = result
+    return out
+
+
+def test_stages_in_order(stages):
+    assert [name for name, *_ in stages] == ["quality rules", "quality classifier", "near dedup", "substring dedup", "packing"]
+    for _, before, _, after, _ in stages[:-1]:
+        assert after == before
+
+
+def test_rules_and_classifier_only_drop(stages, spark):
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    for name, _, rows, _, kept in stages[:2]:
+        known = {r["doc_id"]: r for r in rows}
+        assert all(known[r["doc_id"]] == r for r in kept)
+        gone = set(known) - {r["doc_id"] for r in kept}
+        if name == "quality rules":
+            failed = {i for i, r in known.items() if (c := counts(r["text"]))[0] < 10 or 100 * c[4] > 20 * c[0]}
+            assert failed <= gone
+            gone -= failed
+        assert not any(quality.get(i) == 1 for i in gone)
+    left = Counter(quality.get(r["doc_id"]) for r in stages[1][4])
+    assert left[0] <= 0.05 * left[1]
+
+
+def test_one_document_of_each_class(stages):
+    _, _, rows, _, kept = stages[2]
+    bags = [bag(r["text"]) for r in rows]
+    label = list(range(len(rows)))
+    holders = defaultdict(list)
+    for i, b in enumerate(bags):
+        for shingle in b:
+            holders[shingle].append(i)
+    for i, b in enumerate(bags):
+        for j in {j for s in b for j in holders[s] if j < i}:
+            if 5 * sum((b & bags[j]).values()) >= 4 * sum((b | bags[j]).values()):
+                x, y = label[i], label[j]
+                label = [min(x, y) if v in (x, y) else v for v in label]
+    assert sorted(r["doc_id"] for r in kept) == sorted({rows[i]["doc_id"] for i in set(label)})
+
+
+def test_repeated_passages_go(stages):
+    _, _, rows, _, cut = stages[3]
+    words = [tuple(WORD.findall(r["text"])) for r in rows]
+    texts = {r["doc_id"]: r for r in cut}
+    assert len(texts) == len(rows)
+    for r, w, gone in zip(rows, words, covered(words, 35), strict=True):
+        got = texts[r["doc_id"]]
+        assert WORD.findall(got["text"]) == [x for x, g in zip(w, gone, strict=True) if not g]
+        assert got["n_chars"] == len(got["text"]) and (gone.any() or got == r)
+
+
+def test_everything_is_packed(stages):
+    _, _, rows, _, pieces = stages[4]
+    lengths = Counter()
+    bins = defaultdict(list)
+    for p in pieces:
+        lengths[p["doc_id"]] += p["length"]
+        bins[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert lengths == {r["doc_id"]: len(ids_by_library(r["text"])) + 1 for r in rows}
+    for places in bins.values():
+        places.sort()
+        assert [a for a, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1]]
+        assert sum(n for _, n in places) <= 4096
+    assert len(bins) <= -(-sum(lengths.values()) // 4096) + 1
+
+
+def test_registered_queries():
+    names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
