@@ -7,9 +7,11 @@ each bucket a chance to hold a near neighbour. A query visits its own bucket and
 perturbed ones in order of that chance until the chances add up to ``TARGET`` per
 table; candidates of all tables are merged and ranked by exact distance.
 
-Directions are fixed by a seed; cell width and the neighbours' typical distance are
-fitted on a bounded sample (``SAMPLE`` vectors, by a hash of the id). Every vector is
-indexed. Buckets are searched in blocks of bounded numbers of vectors and queries,
+Directions are fixed by a seed; cell widths are fitted on a bounded sample (``SAMPLE``
+vectors, by a hash of the id). The distance that gives the chances is the query's own:
+that of its k-th nearest in the sample, which its k-th neighbour among all vectors
+cannot exceed. So a dense cluster, whatever its share, leaves the probes of other
+queries as they are. Every vector is indexed. Buckets are searched in blocks of bounded numbers of vectors and queries,
 and a block leaves at most ``k`` rows per query, so neither a full bucket nor a large
 query set meets in one task, and no pair leaves the task that measured it. Queries
 that find fewer than ``k`` neighbours visit every bucket in a second pass.
@@ -38,6 +40,8 @@ HASHES = 4
 CELLS = 16
 TARGET = 0.9
 SAMPLE = 2000
+#: Share of the sample whose distances cells are wide enough for.
+NEAR = 0.9
 VECTORS, QUERIES = 4096, 1024
 _erf = np.vectorize(math.erf, otypes=[float])
 
@@ -53,33 +57,46 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 class Index:
-    """Directions, cell edges and the typical distance of a near neighbour."""
+    """Directions, cell edges and the sample that bounds each query's distances."""
 
-    def __init__(self, sample: np.ndarray, k: int, seed: int = 5):
+    def __init__(self, ids: np.ndarray, sample: np.ndarray, k: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.directions = rng.standard_normal((TABLES, sample.shape[1], HASHES))
-        self.near = 0.0
-        for block in np.array_split(sample, max(1, len(sample) // 256)):
-            d = np.sort(np.maximum((block**2).sum(1)[:, None] + (sample**2).sum(1) - 2 * block @ sample.T, 0), 1)
-            self.near += float(np.sqrt(d[:, min(k, len(sample) - 1)]).sum()) / len(sample)
+        self.ids, self.sample, self.k = ids, sample, k
         at = np.einsum("nd,tdh->tnh", sample, self.directions)
         self.low, span = at.min(1), at.max(1) - at.min(1)
-        self.near = max(self.near, 1e-9 * float(span.max()) + 1e-300)
-        self.cells = np.clip(np.ceil(span / (1.5 * self.near)), 1, CELLS).astype(int)
+        self.least = 1e-9 * float(span.max()) + 1e-300
+        # Wide enough for most queries; narrower cells only mean more probes for the others.
+        near = max(float(np.quantile(self.reach(ids, sample), NEAR)), self.least)
+        self.cells = np.clip(np.ceil(span / (1.5 * near)), 1, CELLS).astype(int)
         self.width = np.maximum(span / self.cells, 1e-300)
 
+    def reach(self, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Upper bound of each vector's distance to its k-th neighbour: the distance to
+        the farthest of ``k`` others near it in the sample."""
+        out = np.full(len(vectors), self.least)
+        n = min(self.k, len(self.sample) - 1)
+        for rows in np.array_split(np.arange(len(vectors)), len(vectors) // 256 + 1) if n > 0 else ():
+            v = vectors[rows]
+            rough = (v**2).sum(1)[:, None] + (self.sample**2).sum(1) - 2 * v @ self.sample.T
+            rough[ids[rows][:, None] == self.ids] = np.inf
+            for i, best in zip(rows, np.argpartition(rough, n - 1, axis=1)[:, :n], strict=True):
+                out[i] = max(self.least, float(np.sqrt(((self.sample[best] - vectors[i]) ** 2).sum(1).max())))
+        return out
+
     def buckets(self, vectors: np.ndarray, table: int) -> np.ndarray:
         at = (vectors @ self.directions[table] - self.low[table]) / self.width[table]
         cell = np.clip(np.floor(at), 0, self.cells[table] - 1).astype(np.int64)
         return np.ravel_multi_index(tuple(cell.T), tuple(self.cells[table]))
 
-    def probes(self, vector: np.ndarray, table: int, target: float) -> np.ndarray:
-        """Buckets in order of their chance, until the chances reach ``target``."""
+    def probes(self, vector: np.ndarray, reach: float, table: int, target: float) -> np.ndarray:
+        """Buckets in order of their chance to hold a neighbour at distance ``reach``,
+        until the chances add up to ``target``."""
         chance = np.ones(1)
         for j, at in enumerate(vector @ self.directions[table]):
             edge = self.low[table, j] + self.width[table, j] * np.arange(self.cells[table, j] + 1)
             edge[0], edge[-1] = -np.inf, np.inf
-            part = np.diff(0.5 * (1 + _erf((edge - at) / (self.near * 2**0.5))))
+            part = np.diff(0.5 * (1 + _erf((edge - at) / (reach * 2**0.5))))
             chance = np.outer(chance, part).ravel()
         order = np.argsort(-chance, kind="stable")
         if target >= 1:
@@ -134,7 +151,7 @@ def nearest(rows: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vect
     n_queries = asked.count()
     if not len(sample) or not n_queries:
         return spark.createDataFrame([], schema)
-    index = Index(_matrix(sample["v"]), k)
+    index = Index(sample["vec_id"].to_numpy(), _matrix(sample["v"]), k)
     shared = spark.sparkContext.broadcast(index)
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,9 +173,11 @@ def nearest(rows: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vect
             for b in batches:
                 if not len(b):
                     continue
-                for qid, v, row in zip(b["vec_id"], b["v"], _matrix(b["v"]), strict=True):
+                m = _matrix(b["v"])
+                reach = shared.value.reach(b["vec_id"].to_numpy(), m)
+                for qid, v, row, r in zip(b["vec_id"], b["v"], m, reach, strict=True):
                     for t in range(TABLES if target < 1 else 1):
-                        found = shared.value.probes(row, t, target)
+                        found = shared.value.probes(row, r, t, target)
                         yield pd.DataFrame({"table": t, "bucket": found, "query_id": qid, "v": [v] * len(found)})
 
         probes = which.mapInPandas(visit, "table INT, bucket BIGINT, query_id BIGINT, v BINARY")

@@ -108,3 +108,24 @@ def test_few_vectors_and_none(spark):
     assert rows == {(0, 1, 100), (0, 2, 2), (0, 3, 1), (100, 1, 0), (100, 2, 2), (100, 3, 1)}
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert neighbours.nearest(df, F.col("vec_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("share", [3, 2])
+def test_recall_beside_a_dense_cluster(spark, share):
+    rng = np.random.default_rng(7)
+    m = rng.standard_normal((2100, 64))
+    m[: 2100 // share] = m[0] + 0.01 * rng.standard_normal((2100 // share, 64))  # near copies, not equal ones
+    ids = rng.permutation(2100).tolist()
+    rows = [(i, v.tolist()) for i, v in zip(ids, m, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 10 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    vids, recall = np.array(ids), {}
+    for i, q in zip(ids, m, strict=True):
+        if i % 10 == 0:
+            d = ((m - q) ** 2).sum(1)
+            recall[i] = len(got[i] & set(vids[np.lexsort((vids, d))][1:11].tolist())) / 10
+    outside = [recall[i] for i in ids[2100 // share :] if i in recall]
+    assert np.mean(list(recall.values())) >= 0.9
+    assert np.mean(outside) >= 0.9
