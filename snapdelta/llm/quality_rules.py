@@ -13,9 +13,10 @@ and results do not depend on the order of rows. A group of a third of all rows
 leaves each map task as a few hundred rows.
 
 Null language or source is a group value of its own; a null or empty text has no
-words and fails the base rule. Groups with fewer than ``min_group`` documents that
-pass the base rule are pooled by language; if the pool is still smaller, its
-documents keep the base verdict, since so few rows estimate no scatter.
+words and fails the base rule. A group with fewer than ``MIN_GROUP`` documents that
+pass the base rule is judged by the estimate over its whole language, all sources
+together; if the language has fewer too, by the estimate over all documents. So every
+document that passes the base rule has a distance.
 """
 
 from __future__ import annotations
@@ -188,28 +189,37 @@ def _keyed(rows: DataFrame, lang: str, source: str) -> DataFrame:
 
 
 def estimates(stages: Stages, counted: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row per language and source with its group, word-length median, centre and
-    inverse scatter; groups too small to estimate are missing."""
+    """One row per language and source with the median, centre and inverse scatter of the
+    group that judges it: itself, its language or all documents."""
     rows = _keyed(counted, lang, source).filter(~base_failed())
     bin_ = F.round(200 * F.log(F.col("_word_chars") / F.col("_n_words"))).cast("int")
     hist = stages.write(rows.groupBy("_lang0", "_source0", bin_.alias("bin")).count(), "rules-hist")
     sizes = hist.groupBy("_lang0", "_source0").agg(F.sum("count").alias("size"))
-    groups = sizes.withColumn("_source", F.when(F.col("size") >= MIN_GROUP, F.col("_source0")).otherwise("rest"))
-    groups = groups.withColumn("_lang", F.col("_lang0")).drop("size")
+    sizes = sizes.withColumn("in_lang", F.sum("size").over(Window.partitionBy("_lang0")))
+    # Group values begin with 'n' or 'v', so these names are no group's.
+    own, whole, every = (F.struct(a.alias("_lang"), b.alias("_source")) for a, b in (
+        (F.col("_lang0"), F.col("_source0")), (F.col("_lang0"), F.lit("*")), (F.lit("*"), F.lit("*"))
+    ))
+    judge = F.when(F.col("size") >= MIN_GROUP, own).when(F.col("in_lang") >= MIN_GROUP, whole).otherwise(every)
+    groups = stages.write(sizes.select("_lang0", "_source0", judge.alias("judge")), "rules-judges")
+    groups = groups.select("_lang0", "_source0", "judge.*")
+    # Documents count in each estimate that covers them and judges somebody.
+    parts = sizes.select("_lang0", "_source0", F.explode(F.array(own, whole, every)).alias("part")).select("_lang0", "_source0", "part.*")
+    parts = parts.join(groups.select("_lang", "_source").distinct(), ["_lang", "_source"])
+    parts = stages.write(parts, "rules-parts")
     medians = (
-        hist.join(groups, ["_lang0", "_source0"])
+        hist.join(parts, ["_lang0", "_source0"])
         .groupBy("_lang", "_source")
-        .agg(F.percentile("bin", F.lit(0.5), F.col("count")).alias("_median"), F.sum("count").alias("size"))
-        .filter(F.col("size") >= MIN_GROUP)
-        .drop("size")
+        .agg(F.percentile("bin", F.lit(0.5), F.col("count")).alias("_median"))
     )
-    groups = stages.write(groups.join(medians, ["_lang", "_source"]), "rules-groups")
+    medians = stages.write(medians, "rules-medians")
+    groups = groups.join(medians, ["_lang", "_source"])
 
     start = {f"_c{i}": F.lit(0.0) for i in range(DIMS)}
     floor = np.linalg.inv(_floor_matrix())
     start |= {f"_p{i}{j}": F.lit(float(floor[i, j])) for i, j in _pairs()}
-    estimate = groups.select("_lang", "_source").distinct().withColumns(start)
-    vectors = rows.join(groups, ["_lang0", "_source0"]).select("_lang", "_source", *_vector())
+    estimate = medians.select("_lang", "_source").withColumns(start)
+    vectors = rows.join(parts.join(medians, ["_lang", "_source"]), ["_lang0", "_source0"]).select("_lang", "_source", *_vector())
     vectors = stages.write(vectors, "rules-vectors")
     for step in range(STEPS):
         near = vectors.join(estimate, ["_lang", "_source"]).withColumn(
@@ -231,13 +241,14 @@ def estimates(stages: Stages, counted: DataFrame, lang: str = "lang", source: st
 
 
 def judged(counted: DataFrame, estimate: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """``counted`` with ``_base_failed``, ``_distance`` (null without an estimate) and ``_kept``."""
+    """``counted`` with ``_base_failed``, ``_distance`` (null where a group has no document that passes
+    the base rule) and ``_kept``."""
     columns = counted.columns
     rows = _keyed(counted, lang, source).join(estimate, ["_lang0", "_source0"], "left")
     rows = rows.select("*", *_vector())
     rows = rows.withColumns({"_base_failed": base_failed(), "_distance": F.when(F.col("_c0").isNotNull(), _distance())})
     limit = chi2_quantile(DIMS, 1 - TAIL)
-    kept = ~F.col("_base_failed") & (F.col("_distance").isNull() | (F.col("_distance") <= limit))
+    kept = ~F.col("_base_failed") & (F.col("_distance") <= limit)
     return rows.withColumn("_kept", kept).select(*columns, "_base_failed", "_distance", "_kept")
 
 

@@ -323,3 +323,22 @@ def test_empty_tables(empty):
         bpe.round_trips(empty, RANKS, public_tokenizers.PATTERN),
     ):
         assert df.count() == 0
+
+
+def test_small_groups_are_judged_by_their_language_or_all(spark):
+    rng = np.random.default_rng(9)
+    rows, junk = [], set()
+    for i in range(340):
+        lang, source = ("en", "s") if i < 300 else ("en", "few") if i < 320 else ("xx", "s")
+        words = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(2, 8)))) for _ in range(int(rng.integers(60, 400)))]
+        if i % 4 == 0:
+            words = [w + "***" for w in words]
+            junk.add(i)
+        rows.append((i, " ".join(words), lang, source))
+    rows += [(400, "too short", "yy", "s"), (401, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING")
+    out = quality_rules.quality_rules(docs).collect()
+    assert all(r["distance"] is not None for r in out if not r["base_failed"])
+    assert {r["doc_id"] for r in out if not r["kept"]} == junk | {400, 401}
+    few = quality_rules.quality_rules(docs.filter("doc_id >= 320")).collect()
+    assert {r["doc_id"] for r in few if not r["kept"]} == {i for i in junk if i >= 320} | {400, 401}
