@@ -342,3 +342,14 @@ def test_small_groups_are_judged_by_their_language_or_all(spark):
     assert {r["doc_id"] for r in out if not r["kept"]} == junk | {400, 401}
     few = quality_rules.quality_rules(docs.filter("doc_id >= 320")).collect()
     assert {r["doc_id"] for r in few if not r["kept"]} == {i for i in junk if i >= 320} | {400, 401}
+
+
+def test_few_symbols_reject_and_repeated_lines_do_not(spark):
+    rng = np.random.default_rng(10)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    rows = [(i, " ".join(word() for _ in range(int(rng.integers(60, 300))))) for i in range(200)]
+    rows += [(200 + i, " ".join([*(word() for _ in range(15)), word() + "*", word() + "*"])) for i in range(5)]  # 17 words, 2 symbols
+    rows += [(300 + i, "\n".join(["a line"] * 4 + [word() + " " + word() for _ in range(60)])) for i in range(5)]
+    docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING")
+    out = quality_rules.quality_rules(docs).collect()
+    assert {r["doc_id"] for r in out if not r["kept"]} == set(range(200, 205))
