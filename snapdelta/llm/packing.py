@@ -111,14 +111,14 @@ class WordTokenizer:
     """Ids of whole texts from a tokenizers file whose pieces never cross white space.
 
     Words between spaces and line ends are encoded once and kept, as little-endian
-    32-bit ids; a text's ids are those of its words in order.
+    32-bit ids; a text's ids are those of its words in order. Names of added tokens
+    (``<|endoftext|>``) in a text become those tokens, as by the library's default.
     """
 
     def __init__(self, content: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.reset()
 

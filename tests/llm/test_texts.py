@@ -353,3 +353,13 @@ def test_few_symbols_reject_and_repeated_lines_do_not(spark):
     docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING")
     out = quality_rules.quality_rules(docs).collect()
     assert {r["doc_id"] for r in out if not r["kept"]} == set(range(200, 205))
+
+
+def test_added_tokens_as_by_the_library_default():
+    with open(TOKENIZER, encoding="utf-8") as f:
+        words = packing.WordTokenizer(f.read())
+    plain = Tokenizer.from_file(TOKENIZER)
+    names = ["<|endoftext|>", "<|startoftext|>"]
+    texts = ["a <|endoftext|> b", "<|startoftext|>Word.<|endoftext|><|endoftext|>\nnext", "x<|endoftext|>y, <|ENDOFTEXT|> <|endof text|>", *names]
+    for text, ids in zip(texts, words.ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
