@@ -146,13 +146,14 @@ def train(texts: list[tuple[str, str]], seed: int = 11) -> Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, fold: int = 4, left_out: int = 2) -> Model:
     """Train on up to ``per_language`` documents of each language outside the held-out fold,
-    chosen by a hash of the id."""
+    chosen by a hash of the id. An id with several rows is one document, its least text."""
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.filter(remainder("doc_id", fold) != left_out)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    ids = rows.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
     # per_language rows of each language: a bounded side
-    chosen = rows.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    chosen = rows.join(F.broadcast(ids.drop("n")), ["doc_id", "lang"])
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     got = chosen.select("lang", "text").toArrow().to_pylist()
     return train(sorted((r["lang"], r["text"]) for r in got))
 

@@ -96,11 +96,13 @@ def fit(
     docs: DataFrame, labels: DataFrame, held_out_mod: int = 5, max_train: int = MAX_TRAIN, text_col: str = "text"
 ) -> Model:
     """Train on at most ``max_train`` labels outside the held-out fold, chosen by a hash
-    of the id, so that only their texts move. Labels other than 0 and 1 are skipped."""
+    of the id, so that only their texts move. Labels other than 0 and 1 are skipped. An
+    id with several rows is one document, its least text."""
     usable = labels.filter(F.col("quality").isin(0, 1) & (remainder("doc_id", held_out_mod) != 0))
-    ids = usable.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_train)
+    ids = usable.select("doc_id", "quality").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_train)
     rows = docs.select("doc_id", F.col(text_col).alias("text"))
-    picked = rows.join(F.broadcast(ids), "doc_id").select("text", "quality")  # at most max_train rows
+    picked = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    picked = picked.select("text", "quality")  # at most max_train rows
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

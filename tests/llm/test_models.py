@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import zlib
 
 import numpy as np
 import pytest
@@ -105,3 +106,16 @@ def test_language_of_odd_rows(spark, corpus, empty):
     assert language_id.languages(empty).count() == 0
     unlabelled = language_id.languages(corpus.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
+
+
+def test_training_rows_are_bounded_when_an_id_repeats(spark, corpus, monkeypatch):
+    """One id with most of the rows is one training document."""
+    rows = [(2, "the same text", "en")] * 300 + [(i, f"text number {i} of many", "en") for i in range(3, 120)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    monkeypatch.setattr(language_id, "train", lambda got: got)
+    got = language_id.fit(docs, per_language=50)
+    assert len(got) == len(set(got)) == 50
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 120)] + [(2, 0, 0)] * 100, "doc_id BIGINT, quality INT, toxic INT")
+    monkeypatch.setattr(quality_classifier, "train", lambda bags, labels: (bags, labels))
+    assert len(quality_classifier.fit(docs, labels, max_train=40)[1]) <= 40
+    assert len(quality_classifier.fit(docs, labels, max_train=4000)[1]) == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(2, 120))
