@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..session import delete_path, new_path
 from .aggregates import row_count, sample_rows
 from .catalog import list_columns
 from .envelope import numeric_columns
@@ -76,3 +78,25 @@ def profile_table(
 def explore_table(df: DataFrame, sample_size: int = 10) -> dict[str, DataFrame]:
     """Columns, row count and a sample (no rows if the table is empty)."""
     return {"columns": list_columns(df), "row_count": row_count(df), "sample": sample_rows(df, sample_size)}
+
+
+def exact_median(df: DataFrame, column: str):
+    """The value at the middle rank (the lower of two), or None without values. Rows are
+    counted per value, values dealt in ranges; only the range that holds the middle is sorted."""
+    spark = df.sparkSession
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    path = new_path(spark, "median")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts.repartitionByRange(ranges, "value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    held = spark.read.parquet(path)
+    sums = sorted(tuple(r) for r in held.groupBy("part").agg(F.sum("n")).collect())  # a row per range
+    middle, value = (sum(n for _, n in sums) + 1) // 2, None
+    for part, n in sums:
+        if middle <= n:
+            upto = F.sum("n").over(Window.orderBy("value"))
+            found = held.filter(F.col("part") == part).select("value", upto.alias("upto")).filter(F.col("upto") >= middle)
+            value = found.agg(F.min("value")).first()[0]
+            break
+        middle -= n
+    delete_path(spark, path)
+    return value

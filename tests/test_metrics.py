@@ -126,3 +126,13 @@ def test_reconcile_compares_exact_totals(spark, rows):
     side = lambda v: spark.sql(f"SELECT CAST('{v}' AS DECIMAL(20,2)) AS amount")
     got = aggregates.reconcile(side("9007199254740993.00"), side("9007199254740992.00"), ["amount"])
     assert rows(got, "metric", "matched") == [("amount_sum", False), ("row_count", True)]
+
+
+def test_exact_median(spark):
+    from snapdelta.operators.profile import exact_median
+
+    for values in ([5], [4, 1, 3, 2], [7] * 50 + [1, 2, 9], [None, 3, None, 1, 2], list(range(1001))):
+        got = sorted(v for v in values if v is not None)
+        df = spark.createDataFrame([(v,) for v in values], "v BIGINT")
+        assert exact_median(df, "v") == got[(len(got) - 1) // 2]
+    assert exact_median(df.limit(0), "v") is None
