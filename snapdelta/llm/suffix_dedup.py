@@ -5,11 +5,16 @@ leading bytes with sampled splitters. Each bucket sorts its suffixes by multikey
 quicksort over eight-byte tokens, and the bytes before the anchors likewise, read
 backwards. Common prefixes of sorted neighbours then tell which contexts agree on how
 many bytes either way, and a window is repeated if another context agrees on both
-sides of the anchor. All comparisons are of bytes.
+sides of the anchor. These comparisons are of bytes.
+
+Not every repeat needs them. Equal texts are told by a 128-bit key, and a context that
+occurs whole again by the 64-bit hashes of its gram and itself (``repeats.classify``): it
+is removed without a comparison, since copies would otherwise all meet in a bucket. Only
+one copy of it is sorted, where other contexts have its gram.
 
 Suffixes with equal leading bytes stay in one bucket up to a bound (``repeats.HEAVY``
-contexts); beyond it their windows are sorted over several buckets whose edges are
-compared, so no group is too large for a task and none is cut short.
+contexts); beyond it their windows are sorted over several buckets by leading bytes and
+a 64-bit hash, and the edges of buckets are compared, so no group is too large for a task and none is cut short.
 
 Every byte covered by a window of 200 bytes that starts anywhere else is removed, in
 all places. Null counts as empty; matches never cross texts; equal texts of at least
