@@ -13,8 +13,8 @@ is removed without a comparison, since copies would otherwise all meet in a buck
 one copy of it is sorted, where other contexts have its gram.
 
 Suffixes with equal leading bytes stay in one bucket up to a bound (``repeats.HEAVY``
-contexts); beyond it their windows are sorted over several buckets by leading bytes and
-a 64-bit hash, and the edges of buckets are compared, so no group is too large for a task and none is cut short.
+contexts); beyond it their windows are sorted over several buckets by two 64-bit
+codes, and the edges of buckets are compared, so no group is too large for a task and none is cut short.
 
 Every byte covered by a window of 200 bytes that starts anywhere else is removed, in
 all places. Null counts as empty; matches never cross texts; equal texts of at least
