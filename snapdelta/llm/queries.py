@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, near_dedup, neighbours, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, warc
+from . import (
+    bpe,
+    language_id,
+    near_dedup,
+    neighbours,
+    packing,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    vector_codes,
+    warc,
+)
 from .common import ship
 
 
@@ -59,6 +71,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -70,5 +88,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op12_vector_codes": op12_vector_codes,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Distances as |a|^2 - 2ab + |b|^2 of whole numbers below 2^53; ``256 * distance + entry`` finds the lowest nearest entry."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+    near{i} AS MATERIALIZED (
+        SELECT rid, part, min(256 * (list_inner_product(a, a) - 2 * list_inner_product(a, b) + list_inner_product(b, b))::BIGINT + entry) AS best
+        FROM parts JOIN book{i} USING (part) GROUP BY rid, part)""")
+        if i < rounds:
+            steps.append(f"""
+    sums{i} AS (
+        SELECT part, best % 256 AS entry, pos, floor(sum(x) / count(*)) AS x
+        FROM (SELECT n.part, n.best, unnest(a) AS x, generate_subscripts(a, 1) AS pos FROM near{i} n JOIN parts p ON p.rid = n.rid AND p.part = n.part)
+        GROUP BY part, entry, pos),
+    book{i + 1} AS MATERIALIZED (
+        SELECT o.part, o.entry, coalesce(n.b, o.b) AS b FROM book{i} o LEFT JOIN (
+            SELECT part, entry, list(x ORDER BY pos) AS b FROM sums{i} GROUP BY part, entry) n ON n.part = o.part AND n.entry = o.entry)""")
+    return f"""
+WITH vectors AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rid, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT rid, part, v[part * (len(v) // 4) + 1 : (part + 1) * (len(v) // 4)] AS a FROM vectors, range(4) t(part)),
+    book0 AS MATERIALIZED (SELECT part, rid AS entry, a AS b FROM parts WHERE rid < 256),{",".join(steps)},
+    coded AS (
+        SELECT vec_id, label, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code, sum(best // 256)::BIGINT AS error
+        FROM near{rounds} JOIN vectors USING (rid) GROUP BY rid, vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY part, entry, pos))
+        FROM (SELECT part, entry, unnest(b) AS x, generate_subscripts(b, 1) AS pos FROM book{rounds})) AS codebooks_sha256
+FROM coded
+"""
+
+
+ORACLES: dict[str, str] = {"op12_vector_codes": _codes_sql()}
