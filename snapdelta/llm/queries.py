@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    inner_products,
     language_id,
     near_dedup,
     neighbours,
@@ -77,6 +78,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
 
 
+def op13_largest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.largest_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op12_vector_codes": op12_vector_codes,
+    "op13_largest_products": op13_largest_products,
 }
 
 
@@ -126,4 +132,15 @@ FROM coded
 """
 
 
-ORACLES: dict[str, str] = {"op12_vector_codes": _codes_sql()}
+PRODUCTS_SQL = """
+WITH vectors AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scores
+QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op12_vector_codes": _codes_sql(), "op13_largest_products": PRODUCTS_SQL}
