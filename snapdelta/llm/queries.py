@@ -15,6 +15,7 @@ from . import (
     near_dedup,
     neighbours,
     packing,
+    phrases,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -72,6 +73,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(_table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
     digest = F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_phrases": op11_phrases,
     "op12_vector_codes": op12_vector_codes,
     "op13_largest_products": op13_largest_products,
 }
@@ -132,6 +138,35 @@ FROM coded
 """
 
 
+PHRASES_SQL = r"""
+WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece
+        FROM documents),
+    words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+    counts AS MATERIALIZED (
+        SELECT lang, words, phrase, count(*) AS f
+        FROM (SELECT lang, k AS words, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+              FROM words, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k)
+        GROUP BY lang, words, phrase),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE words = 1 GROUP BY lang),
+    split AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE words > 1 AND f >= 10),
+    cuts AS (
+        SELECT s.lang, s.phrase, s.f AS a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * s.f * s.f) // (l.f::HUGEINT * r.f) AS score
+        FROM (SELECT *, unnest(range(1, words)) AS k FROM split) s
+        JOIN counts l ON l.lang = s.lang AND l.phrase = array_to_string(w[1 : k], ' ') AND l.words = k
+        JOIN counts r ON r.lang = s.lang AND r.phrase = array_to_string(w[k + 1 :], ' ') AND r.words = s.words - k),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    longer AS (
+        SELECT lang, phrase, max(f) AS f
+        FROM (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f FROM split WHERE words = 3)
+        GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM best b JOIN total USING (lang) LEFT JOIN longer USING (lang, phrase)
+WHERE longer.f IS NULL OR 100 * longer.f < 50 * a
+QUALIFY rank <= 2000
+"""
+
 PRODUCTS_SQL = """
 WITH vectors AS MATERIALIZED (
         SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
@@ -143,4 +178,4 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 QUALIFY rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op12_vector_codes": _codes_sql(), "op13_largest_products": PRODUCTS_SQL}
+ORACLES: dict[str, str] = {"op11_phrases": PHRASES_SQL, "op12_vector_codes": _codes_sql(), "op13_largest_products": PRODUCTS_SQL}
