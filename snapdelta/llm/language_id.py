@@ -8,7 +8,11 @@ that switches language is labelled word by word; a document's language is the on
 with most probability mass over its words.
 
 Weights and transitions are learned together by gradient descent on the sequence
-likelihood, in numpy, on a bounded sample of documents (``per_language``). Documents
+likelihood, in numpy, on a bounded sample: the ``MOST_LANGUAGES`` most frequent
+languages, up to ``per_language`` documents of each and ``SAMPLE`` in all, up to
+``RUNS`` runs of words of each document, cut anywhere in the whole text by the tasks that
+read it, and words of up to ``LONGEST`` characters. So what reaches the driver is bounded
+whatever the texts and language values are. Documents
 only have one label, so training sequences are spliced from runs of words of
 different languages; run lengths are random and teach the transitions.
 
@@ -20,7 +24,6 @@ is ``und``.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,13 +42,17 @@ BITS = 16
 BUCKETS = 1 << BITS
 NGRAMS = (2, 3, 4)
 PER_LANGUAGE = 250
+MOST_LANGUAGES = 128
+SAMPLE = 8000
+RUNS = 20
+LONGEST = 40
 LEXICON = 300
 SEQUENCE = 48
 BATCH = 48
 STEPS = 260
 RATE = 0.5
 CHUNK = 1_500_000
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
@@ -144,17 +152,36 @@ def train(texts: list[tuple[str, str]], seed: int = 11) -> Model:
     return Model(languages, weights, moves, lexicons)
 
 
+def sample_runs(text: str) -> str:
+    """A text's words, or if it is long, ``RUNS`` runs of ``SEQUENCE`` words evenly spread over it."""
+    words = [w for w in words_of(text) if len(w) <= LONGEST]
+    if len(words) > RUNS * SEQUENCE:
+        starts = np.linspace(0, len(words) - SEQUENCE, RUNS).astype(int)
+        words = [w for at in starts for w in words[at : at + SEQUENCE]]
+    return " ".join(words)
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, fold: int = 4, left_out: int = 2) -> Model:
-    """Train on up to ``per_language`` documents of each language outside the held-out fold,
-    chosen by a hash of the id. An id with several rows is one document, its least text."""
+    """Train on a bounded sample of documents outside the held-out fold, chosen by a hash of
+    the id. An id with several rows is one document, its least text."""
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.filter(remainder("doc_id", fold) != left_out)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    # per_language rows of each language: a bounded side
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang").collect()
+    names = [r["lang"] for r in common]
+    each = min(per_language, SAMPLE // max(1, len(names)))
+    ids = rows.filter(F.col("lang").isin(names)).select("doc_id", "lang").distinct()
+    ids = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each)
+    # at most SAMPLE rows: a bounded side
     chosen = rows.join(F.broadcast(ids.drop("n")), ["doc_id", "lang"])
     chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    got = chosen.select("lang", "text").toArrow().to_pylist()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [sample_runs(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(texts, pa.string())], names=["lang", "text"])
+
+    got = chosen.select("lang", "text").mapInArrow(cut, "lang STRING, text STRING").toArrow().to_pylist()
     return train(sorted((r["lang"], r["text"]) for r in got))
 
 

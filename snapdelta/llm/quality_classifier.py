@@ -3,7 +3,9 @@
 Words, their character n-grams and word pairs are hashed to vectors, a document is
 the average of the vectors of all its features, and a softmax over two classes sits
 on top. Vectors and softmax are learned by stochastic gradient descent in numpy on
-a bounded sample of labelled documents (``max_train``), chosen by a hash.
+a bounded sample of labelled documents (``max_train``), chosen by a hash; of a
+document with over ``MAX_FEATURES`` different features that many, evenly spread over
+their hashes, so that what reaches the driver is bounded whatever the texts are.
 Language, source and ids are never features.
 
 A trained model scores linearly before the softmax, so each feature comes down to
@@ -31,6 +33,7 @@ BUCKETS = 1 << BITS
 DIM = 8
 NGRAMS = (3, 4)
 MAX_TRAIN = 4000
+MAX_FEATURES = 16_384
 EPOCHS = 6
 RATE = 0.3
 THRESHOLD = 0.3
@@ -53,6 +56,14 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([ids, pair_features(hashes)]), return_counts=True)
 
 
+def training_bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    ids, n = bag(text)
+    if len(ids) > MAX_FEATURES:
+        kept = np.linspace(0, len(ids) - 1, MAX_FEATURES).astype(int)
+        ids, n = ids[kept], n[kept]
+    return ids, n
+
+
 @dataclass(frozen=True)
 class Model:
     #: What each feature adds to the log odds of class 1, and the bias.
@@ -106,7 +117,7 @@ def fit(
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [bag(t) for t in b.column("text").to_pylist()]
+            found = [training_bag(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([i.astype(np.uint32).tobytes() for i, _ in found], pa.binary()),

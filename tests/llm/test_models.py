@@ -63,6 +63,27 @@ def test_language_on_the_held_out_fold(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_letters_are_category_l(spark):
+    """Number signs are no letters, neither in training nor in prediction."""
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de") for i in range(60)]
+    rows += [(100, "Ⅷ ①", "en"), (101, "½ ² 12", "de"), (102, "Ⅷ der hund", "de"), (103, "ª", "en"), (104, "ʰ the", "en"), (105, "_ 9", "en")]
+    found = {r["doc_id"]: r for r in language_id.languages(spark.createDataFrame(rows, "doc_id INT, text STRING, lang STRING")).collect()}
+    assert {i for i, r in found.items() if r["lang_pred"] == "und"} == {100, 101, 105}
+    assert found[102]["lang_pred"] == "de" and found[104]["lang_pred"] == "en"
+
+
+def test_many_languages_and_long_texts_reach_the_driver_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 6)
+    rows = [(i, f"w{i} x{i}", f"l{i}") for i in range(5000)]
+    rows += [(5000 + i, "the cat and the dog " * 250_000 + "q" * 1000, "en") for i in range(3)] + [(6000 + i, "der hund", "de") for i in range(8)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id INT, text STRING, lang STRING").repartition(4))
+    assert len(model.languages) == language_id.MOST_LANGUAGES and {"en", "de"} <= set(model.languages)
+    runs = language_id.sample_runs("a b " * 500_000 + "q" * 1000).split()
+    assert len(runs) == language_id.RUNS * language_id.SEQUENCE
+    ids, n = quality_classifier.training_bag(" ".join(f"word{i}" for i in range(60_000)))
+    assert len(ids) == quality_classifier.MAX_FEATURES == len(n)
+
+
 @need_data
 def test_code_switched_words(spark):
     rows = table(spark, "documents").filter("lang IN ('en', 'de')").orderBy("doc_id").limit(160).collect()
