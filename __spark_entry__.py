@@ -49,7 +49,7 @@ from snapdelta.session import new_path
 from snapdelta.sinks.ddl import catalog_to_ddl
 from snapdelta.sinks.layers import align, clustered, overwrite_partitions, write_bronze
 from snapdelta.sources.tables import read_layer, read_page, stage
-from snapdelta.streaming import sales
+from snapdelta.streaming import gold, sales
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 PREV_DAY, REF_DAY = "2024-01-01", "2024-01-02"
@@ -675,21 +675,25 @@ def customer_ltv(spark, sf_dir):
     return metrics.customer_ltv(_sales_orders(spark, sf_dir))
 
 
-def _streamed_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream all orders into partial results and read them."""
+def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as a stream of four batches."""
     schema = _table(spark, sf_dir, "orders").schema
     # Several files, a batch each: what the batches leave is combined when it is read.
     files = new_path(spark, "order-files")
     _table(spark, sf_dir, "orders").repartition(4, "o_orderkey").write.parquet(files)
     raw = sales.read_order_stream(spark, files, schema, files_per_batch=1)
-    orders = raw.select(
+    return raw.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_totalprice").cast(MONEY).alias("total_amount"),
     )
+
+
+def _streamed_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream all orders into partial results and read them."""
     target, offsets = new_path(spark, "sales-partials"), new_path(spark, "sales-offsets")
-    sales.stream_daily_sales(orders, target, offsets).awaitTermination()
+    sales.stream_daily_sales(_order_stream(spark, sf_dir), target, offsets).awaitTermination()
     return sales.read_partials(spark, target, offsets)
 
 
@@ -703,6 +707,23 @@ def stream_customer_ltv(spark, sf_dir):
     return sales.customer_ltv_from_partials(sales.compact_partials(_streamed_partials(spark, sf_dir)))
 
 
+def _streamed_gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Stream all orders into the gold tables and read one."""
+    base, offsets = new_path(spark, "sales-gold"), new_path(spark, "gold-offsets")
+    gold.stream_gold_sales(_order_stream(spark, sf_dir), base, offsets).awaitTermination()
+    return gold.read_gold(spark, base, table)
+
+
+@query("stream_gold_sales", SALES_SQL)
+def stream_gold_sales(spark, sf_dir):
+    return _streamed_gold(spark, sf_dir, gold.DAILY)
+
+
+@query("stream_gold_ltv", LTV_SQL)
+def stream_gold_ltv(spark, sf_dir):
+    return _streamed_gold(spark, sf_dir, gold.CUSTOMERS)
+
+
 @query(
     "line_metrics_by_supplier",
     """
