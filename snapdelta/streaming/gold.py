@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import delete_path, new_path
@@ -40,6 +41,12 @@ def _bucket(buckets: int):
     return F.pmod(F.hash("customer_id"), F.lit(buckets))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """Decimals in their widest type: sums of sums would widen from batch to batch."""
+    wide = {f.name: T.DecimalType(38, f.dataType.scale) for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    return df.withColumns({name: F.col(name).cast(kind) for name, kind in wide.items()}) if wide else df
+
+
 def merge_customers(*parts: DataFrame) -> DataFrame:
     """Lifetime values of several parts as one row per customer."""
     return reduce(lambda a, b: a.unionByName(b), parts).groupBy("customer_id").agg(
@@ -93,7 +100,7 @@ def refresh(batch: DataFrame, base: str, query: str, batch_id: int, buckets: int
 
         def write(rows: DataFrame, table: str) -> None:
             column = PARTITIONS[table]
-            rows.hint("rebalance", column).sortWithinPartitions(column).write.partitionBy(column).parquet(f"{base.rstrip('/')}/{table}/{name}")
+            _settled(rows).hint("rebalance", column).sortWithinPartitions(column).write.partitionBy(column).parquet(f"{base.rstrip('/')}/{table}/{name}")
 
         known = read_partitions(spark, base, PARTIALS, old, months)
         own = new.drop("month", "bucket")
