@@ -44,7 +44,7 @@ END = b"."
 TABLE = bytes.maketrans(SEPARATORS + b"\t", END * len(SEPARATORS) + b" ")
 BREAK = re.compile(rb"[ .]")
 #: Words of a block and of all open blocks of a task.
-BLOCK, OPEN = 1_000_000, 4_000_000
+BLOCK, OPEN = 400_000, 1_200_000
 STRETCH = 1 << 20
 #: Width of the first two bands of numbers; each further band is as wide as all before it.
 BAND = 1024
