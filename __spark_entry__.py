@@ -47,7 +47,7 @@ from snapdelta.plans.specs import TableSpec
 from snapdelta.schemas import INGESTION_CONTROL, RUN_METRICS, TABLE_METADATA
 from snapdelta.session import new_path
 from snapdelta.sinks.ddl import catalog_to_ddl
-from snapdelta.sinks.layers import align, clustered, overwrite_partitions, write_bronze
+from snapdelta.sinks.layers import align, clustered, overwrite_partitions, write_layer
 from snapdelta.sources.tables import read_layer, read_page, stage
 from snapdelta.streaming import gold, sales
 
@@ -1471,8 +1471,8 @@ def layer_day(spark, sf_dir):
     """Both days in one bronze layer, one of them read back."""
     base = new_path(spark, "lake")
     for rows, day in ((_prev_orders(spark, sf_dir), PREV_DAY), (_cur_orders(spark, sf_dir), REF_DAY)):
-        write_bronze(with_ingestion_metadata(rows, "files", "sales.orders", day), base, "files", "orders",
-                     ["reference_date"])
+        stamped = with_ingestion_metadata(rows, "files", "sales.orders", day)
+        write_layer(stamped, base, "bronze", "files", "orders", ["reference_date"])
     found = read_layer(spark, base, "bronze", "files", "orders", REF_DAY)
     return found.select("reference_date", "_source", "_source_table", "o_orderkey", "o_orderstatus")
 

@@ -155,8 +155,7 @@ def detect_delta_range(
     before = snapshots.withColumn("ref_date", F.date_add("ref_date", 1))
     if first is None or last is None:
         # A day without a snapshot deletes nothing: its events go, not the rows before them.
-        # One row per calendar day is a side of a known, small size.
-        days = F.broadcast(snapshots.select("ref_date").distinct())
+        days = snapshots.select("ref_date").distinct()
         return _events(_compare(snapshots, before, keys, unique_keys)).join(days, "ref_date", "left_semi")
     in_range = F.col("ref_date").between(as_date(first), as_date(last))
     return _events(_compare(snapshots.filter(in_range), before.filter(in_range), keys, unique_keys))
@@ -186,6 +185,14 @@ def delta_deletes(cur: DataFrame, prev: DataFrame, ref_date: str | dt.date, uniq
     return _events(rows.withColumn("operation_type", F.lit("DELETE")), as_date(ref_date))
 
 
+def arrivals(rows: DataFrame, ref_date: str | dt.date) -> DataFrame:
+    """Events of a table that had no snapshot before: every row, one per key, is an INSERT."""
+    inserted = rows.select(
+        *KEYS, F.col("row_hash").alias("row_hash_after"), F.col("data").alias("data_after"), F.lit("INSERT").alias("operation_type")
+    )
+    return _events(inserted, as_date(ref_date))
+
+
 def union_events(*parts: DataFrame) -> DataFrame:
     """Change sets as one event table; columns missing from a part are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

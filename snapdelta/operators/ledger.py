@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -12,10 +13,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import as_date
 from ..schemas import INGESTION_CONTROL, RUN_METRICS, struct_of
-from ..session import path_exists
+from ..session import delete_path
+from ..sinks.versions import drop_unnamed, drop_versions, list_names, next_name, read_version, version_names, write_version
 from .state import latest_by_key
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
+RUN_DAY = "CAST(start_time AS DATE)"
 LOAD_KEYS = ["ref_date", "schema_name", "table_name"]
 Load = tuple[dt.date, str, str]
 
@@ -46,27 +49,98 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def _append(spark: SparkSession, path: str, ddl: str, rows: Sequence[Mapping]) -> None:
+TAIL = "tail"
+#: Files the tail may have before they are merged into the days.
+TAIL_FILES = 24
+
+
+def append_rows(spark: SparkSession, path: str, ddl: str, rows: Sequence[Mapping], day: str) -> None:
+    """Add rows to a stored log: a file in its tail, which is merged into one file per
+    ``day`` (an expression) before it grows long, so reading never lists old runs."""
     schema = struct_of(ddl)
     table = pa.Table.from_pylist([dict(r) for r in rows], schema=to_arrow_schema(schema))
-    spark.createDataFrame(table, schema).write.mode("append").parquet(path)
+    spark.createDataFrame(table, schema).coalesce(1).write.mode("append").parquet(f"{path}/{TAIL}")
+    if len(_tail(spark, path)) > TAIL_FILES:
+        compact_rows(spark, path, ddl, day)
+
+
+def _tail(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in list_names(spark, f"{path}/{TAIL}") if n.endswith(".parquet") and not n.startswith(("_", "."))]
+
+
+def _days_of(version: Mapping, days: Sequence[dt.date] | None) -> dict[str, str]:
+    wanted = None if days is None else {str(d) for d in days}
+    return {d: f for d, f in version["days"].items() if wanted is None or d in wanted}
+
+
+def log_paths(spark: SparkSession, path: str, days: Sequence[dt.date] | None = None) -> list[str]:
+    """What a read of a stored log goes through: a folder per day and the files of the tail."""
+    version = read_version(spark, path) or {"days": {}, "absorbed": []}
+    absorbed = set(version["absorbed"])
+    tail = [f"{path}/{TAIL}/{n}" for n in _tail(spark, path) if n not in absorbed]
+    return [f"{path}/{f}/day={d}" for d, f in sorted(_days_of(version, days).items())] + tail
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, ddl: str, days: Sequence[dt.date] | None = None) -> DataFrame:
+    """A stored log, empty if nothing was recorded yet; ``days`` leaves out the merged rows of others."""
     schema = struct_of(ddl)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    paths = log_paths(spark, path, days)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def compact_rows(spark: SparkSession, path: str, ddl: str, day: str) -> None:
+    """Merge the tail into the days it belongs to. The new folders and the files they took in
+    are named by one version file: until then readers see the tail, from then on the days,
+    and whatever a run that dies leaves behind is never read twice."""
+    _tidy(spark, path)  # what an earlier run took in and had no time to remove
+    before = read_version(spark, path) or {"days": {}}
+    tail = _tail(spark, path)
+    days = {d: f for d, f in before["days"].items()}
+    if tail:
+        schema = struct_of(ddl)
+        new = spark.read.schema(schema).parquet(*[f"{path}/{TAIL}/{n}" for n in tail]).withColumn("day", F.expr(day))
+        touched = [str(r["day"]) for r in new.select("day").distinct().collect()]
+        old = [f"{path}/{days[d]}/day={d}" for d in touched if d in days]
+        if old:
+            known = spark.read.schema(schema).parquet(*old).withColumn("day", F.expr(day))
+            new = known.unionByName(new)
+        name = next_name(spark, path)
+        folder = f"version={uuid.uuid4().hex}"
+        new.coalesce(1).sortWithinPartitions("day").write.partitionBy("day").parquet(f"{path}/{folder}")
+        write_version(spark, path, name, {"days": {**days, **dict.fromkeys(touched, folder)}, "absorbed": tail})
+    _tidy(spark, path)
+
+
+def _tidy(spark: SparkSession, path: str) -> None:
+    """Remove what the newest version took in or replaced."""
+    version = read_version(spark, path)
+    if version is None:
+        return
+    for n in set(_tail(spark, path)) & set(version["absorbed"]):
+        delete_path(spark, f"{path}/{TAIL}/{n}")
+    drop_versions(spark, path, version_names(spark, path)[:-1])
+    drop_unnamed(spark, path, version["days"].values())
+
+
+def forget_days(spark: SparkSession, path: str, before: dt.date) -> list[str]:
+    """Drop the merged rows of days before ``before``; returns the days."""
+    version = read_version(spark, path)
+    gone = sorted(d for d in (version or {}).get("days", {}) if d < str(before))
+    if gone:
+        kept = {d: f for d, f in version["days"].items() if d not in set(gone)}
+        write_version(spark, path, next_name(spark, path), {"days": kept, "absorbed": version["absorbed"]})
+        _tidy(spark, path)
+    return gone
 
 
 def record_ingestion(spark: SparkSession, ledger_path: str, rows: Sequence[Mapping]) -> None:
     """Append ledger rows, one per load step; columns left out are NULL."""
-    _append(spark, ledger_path, INGESTION_CONTROL, rows)
+    append_rows(spark, ledger_path, INGESTION_CONTROL, rows, "ref_date")
 
 
-def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """The ledger, empty if nothing was recorded yet."""
-    return _read(spark, ledger_path, INGESTION_CONTROL)
+def read_ledger(spark: SparkSession, ledger_path: str, days: Sequence[dt.date] | None = None) -> DataFrame:
+    """The ledger, empty if nothing was recorded yet; ``days`` are those it must be complete for."""
+    return read_rows(spark, ledger_path, INGESTION_CONTROL, days)
 
 
 def run_row(
@@ -94,12 +168,12 @@ def run_row(
 
 
 def record_runs(spark: SparkSession, path: str, rows: Sequence[Mapping]) -> None:
-    _append(spark, path, RUN_METRICS, rows)
+    append_rows(spark, path, RUN_METRICS, rows, RUN_DAY)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Recorded run metrics, empty if there are none yet."""
-    return _read(spark, path, RUN_METRICS)
+    return read_rows(spark, path, RUN_METRICS)
 
 
 def load_status(ledger: DataFrame) -> DataFrame:

@@ -103,8 +103,8 @@ def apply_delta(
     """The next state version from one day's events instead of its whole snapshot.
 
     Same result as :func:`maintain_current_state` if ``state`` is the version of
-    the day the events compare with. The state is only scanned and joined with
-    the events; read those back from storage and Catalyst broadcasts them when
+    the day the events compare with. The state is scanned once (and its inactive rows
+    once more) and joined with the events; read those back from storage and Catalyst broadcasts them when
     they are small, so the state itself does not shuffle.
     """
     day = as_date(ref_date)
@@ -128,18 +128,26 @@ def apply_delta(
         active.cast("int").alias("is_active"),
         F.when(touched, stamp).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    arrivals = changes.filter(op == "INSERT")
-    known = state.select(*KEYS).join(arrivals.select(*KEYS), KEYS, "left_semi")
-    added = arrivals.join(known, KEYS, "left_anti").select(
+    # A key that arrives was missing the day before: the state has it inactive or not at all,
+    # so the second look at the state reads inactive rows only.
+    inactive = state.filter(F.col("is_active") == 0).select(*KEYS)
+    back = inactive.join(events.filter(op == "INSERT").select(*KEYS), KEYS, "left_semi")
+    added = state_of_arrivals(events.join(back, KEYS, "left_anti"), ref_date, updated_at)
+    return kept.unionByName(added).select(*STATE_COLUMNS)
+
+
+def state_of_arrivals(events: DataFrame, ref_date: str | dt.date, updated_at: Column | None = None) -> DataFrame:
+    """State rows of keys that no earlier state has, from their INSERT events."""
+    day = as_date(ref_date)
+    return events.filter(F.col("operation_type") == "INSERT").select(
         *KEYS,
-        F.col("new_hash").alias("row_hash"),
-        F.col("new_data").alias("data"),
+        F.col("row_hash_after").alias("row_hash"),
+        F.col("data_after").alias("data"),
         day.alias("first_seen_date"),
         day.alias("last_seen_date"),
         F.lit(1).alias("is_active"),
-        stamp.alias("updated_at"),
+        (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at"),
     )
-    return kept.unionByName(added).select(*STATE_COLUMNS)
 
 
 def state_from_history(snapshots: DataFrame, as_of: str | dt.date, updated_at: Column | None = None) -> DataFrame:

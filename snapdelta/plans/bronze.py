@@ -26,7 +26,7 @@ from ..operators.ledger import (
 from ..schemas import BRONZE_METADATA
 from ..sinks.ddl import schema_to_ddl
 from ..sinks.jdbc import write_jdbc
-from ..sinks.layers import overwrite_partition
+from ..sinks.layers import in_stored_order, overwrite_partition
 from ..sources.jdbc import JdbcSource, read_declared, read_table
 from ..sources.tables import layer_path, read_layer
 from .specs import TableSpec
@@ -85,7 +85,9 @@ def ingest_envelope(
     rows = to_envelope(reader(spec), spec.full_name, spec.primary_keys, ref_date, safe)
     values = {"ref_date": str(ref_date), "table_name": spec.full_name}
     return write_counted(
-        rows, f"envelope_{spec.name}", lambda d: overwrite_partition(d, snapshot_path(base), values)
+        in_stored_order(rows, "bronze", "snapshot_raw"),
+        f"envelope_{spec.name}",
+        lambda d: overwrite_partition(d, snapshot_path(base), values),
     )
 
 
@@ -131,7 +133,7 @@ def ingest_tables(
     """
     day = dt.date.fromisoformat(str(ref_date))
     if finished is None:
-        finished = finished_loads(read_ledger(spark, ledger_path(base)), [day])
+        finished = finished_loads(read_ledger(spark, ledger_path(base), [day]), [day])
     todo = [s for s in specs if force or (day, s.schema or "", s.table) not in finished]
 
     started = now()

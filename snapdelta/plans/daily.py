@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.catalog import coverage
 from ..operators.ledger import SUCCESS, finished_loads, now, read_ledger, record_runs, run_row
+from ..sinks.buckets import BUCKETS
 from ..sinks.ddl import catalog_to_ddl
 from .bronze import Reader, ingest_envelope, ingest_tables, ledger_path, runs_path
 from .gold import GOLD_SCHEMA, GOLD_TABLE, build_gold, read_change_metrics
@@ -24,8 +25,8 @@ def run_day(
     ref_date: str | dt.date,
     force: bool = False,
     parallel: int = 4,
-    unique_keys: bool = False,
     domain: str = "default",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Load all tables, derive events and state, write the metrics; returns the
     day's change metrics.
@@ -38,7 +39,7 @@ def run_day(
     day = dt.date.fromisoformat(str(ref_date))
     runs, started = [], now()
     days = [day, day - dt.timedelta(days=1)]
-    finished = finished_loads(read_ledger(spark, ledger_path(base)), days, [STATE_TABLE])
+    finished = finished_loads(read_ledger(spark, ledger_path(base), days), days)
     rows = ingest_tables(spark, reader, specs, base, day, ingest_envelope, force, parallel, finished)
     failed = {(r["schema_name"], r["table_name"]) for r in rows if r["status"] != SUCCESS}
     tables = [s.full_name for s in specs if (s.schema or "", s.table) not in failed]
@@ -48,7 +49,7 @@ def run_day(
         runs.append(run_row(domain, "bronze", started, sum(r["row_count"] or 0 for r in rows), errors=errors))
     if tables and (changed or (day, SILVER_SCHEMA, STATE_TABLE) not in finished):
         started = now()
-        n = process_silver(spark, base, day, tables, unique_keys, finished)
+        n = process_silver(spark, base, day, tables, finished, buckets)
         runs.append(run_row(domain, "silver", started, n))
         changed = True
     if tables and (changed or (day, GOLD_SCHEMA, GOLD_TABLE) not in finished):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.ledger import STARTED, SUCCESS, ledger_row, now, record_ingestion
 from ..operators.metrics import aggregate_spec, daily_change_metrics, data_quality_metrics, historical_trends
 from ..schemas import DAILY_CHANGE_METRICS, DATA_QUALITY_METRICS
-from ..sinks.layers import align, overwrite_partition
+from ..sinks.layers import align, in_stored_order, overwrite_partition
 from ..sources.tables import read_partition
 from .bronze import ledger_path, write_counted
 from .silver import read_events, read_snapshots, read_state
@@ -46,7 +46,9 @@ def build_gold(spark: SparkSession, base: str, ref_date: str | dt.date) -> int:
         stamped = rows.withColumn("calculated_at", F.current_timestamp())
         path = gold_path(base, table)
         written += write_counted(
-            align(stamped, schema), table, lambda d, p=path: overwrite_partition(d, p, {"ref_date": day})
+            in_stored_order(align(stamped, schema), "gold", table),
+            table,
+            lambda d, p=path: overwrite_partition(d, p, {"ref_date": day}),
         )
     record_ingestion(spark, ledger_path(base), [ledger_row(day, GOLD_SCHEMA, GOLD_TABLE, SUCCESS, started)])
     return written

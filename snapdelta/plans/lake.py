@@ -100,7 +100,7 @@ def run_lake(
     for day, of_day in by_day.items():
         tried = ingest_tables(spark, reader, of_day, base, day, ingest_table, force)
         failed = {(r["schema_name"], r["table_name"]) for r in tried if r["status"] != SUCCESS}
-        done = finished_loads(read_ledger(spark, ledger_path(base)), [day])
+        done = finished_loads(read_ledger(spark, ledger_path(base), [day]), [day])
         for spec in of_day:
             load = (spec.schema or "", spec.table)
             if load in failed or (day, *load) not in done:

@@ -16,6 +16,7 @@ SNAPSHOT_RAW = (
     "ref_date DATE, table_name STRING, primary_key STRING, row_hash STRING, "
     "data STRING, ingestion_timestamp TIMESTAMP"
 )
+SNAPSHOT_KEYS = "table_name STRING, primary_key STRING, row_hash STRING, copies BIGINT"
 INGESTION_CONTROL = (
     "ref_date DATE, table_name STRING, schema_name STRING, row_count BIGINT, "
     "ingestion_start TIMESTAMP, ingestion_end TIMESTAMP, status STRING, error_message STRING"
@@ -72,7 +73,7 @@ MEDALLION = {
 }
 
 # Columns that the jobs partition a stored table by, where not by its day alone.
-STORED_BY = {"snapshot_raw": "ref_date, table_name", "current_state": "state_date"}
+STORED_BY = {"snapshot_raw": "ref_date, table_name", "current_state": "version, table_name"}
 
 
 def struct_of(ddl: str) -> StructType:

@@ -31,20 +31,24 @@ SETTINGS index_granularity = 8192;
 def create_tables(spark: SparkSession, layer: str, prefix: str = "", base: str | None = None) -> list[str]:
     """Create a layer's database and tables if absent; returns the table names.
 
-    Partitions are those that the jobs write (state versions by ``state_date``). With
-    the jobs' ``base`` the tables lie over their folders and show what is stored there;
+    Partitions are those that the jobs write, and the order they sort by is the property
+    ``sort_by``. With the jobs' ``base`` the tables lie over their folders and show all that is
+    stored there (of ``current_state`` every version; ``read_state`` gives that of a day);
     run ``MSCK REPAIR TABLE`` after a job to add its partitions.
     """
     database = f"{prefix}{layer}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
-    for table, (columns, _) in MEDALLION[layer].items():
+    for table, (columns, order) in MEDALLION[layer].items():
         stored_by = STORED_BY.get(table, "ref_date")
-        if stored_by not in columns and "," not in stored_by:
-            columns = f"{columns}, {stored_by} DATE"
+        if stored_by.startswith("version"):
+            columns = f"{columns}, version STRING"
         where = f"LOCATION '{base.rstrip('/')}/{layer}/{table}'" if base else ""
         names.append(f"{database}.{table}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[-1]} ({columns}) USING parquet PARTITIONED BY ({stored_by}) {where}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {names[-1]} ({columns}) USING parquet PARTITIONED BY ({stored_by}) {where} "
+            f"TBLPROPERTIES ('sort_by' = '{', '.join(order)}')"
+        )
     return names
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import struct_of
+from ..schemas import MEDALLION, struct_of
 from ..session import delete_path, path_exists, replace_path
 from ..sources.tables import layer_path, partition_path
 
@@ -21,37 +21,31 @@ def write_layer(
     layer: str,
     source: str,
     entity: str,
-    partition_by: Sequence[str] | None = None,
+    partition_by: Sequence[str] = (),
     mode: str = "append",
     format: str = "parquet",
 ) -> str:
-    """Write to ``base/layer/source/entity`` and return that path."""
+    """Rows of an entity in a layer; returns its folder. ``append`` adds files. ``overwrite``
+    replaces the partitions ``df`` has rows for, or the whole entity if it has no
+    partitions, once the new rows are complete."""
     path = layer_path(base, layer, source, entity)
-    writer = df.write.mode(mode).format(format)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if mode == "append":
+        df.write.format(format).mode("append").partitionBy(*partition_by).save(path)
+    elif mode != "overwrite":
+        raise ValueError(f"unknown mode {mode!r}")
+    elif partition_by:
+        overwrite_partitions(df, path, partition_by, format)
+    else:
+        overwrite_partition(df, path, {}, format)
     return path
 
 
-def write_bronze(df: DataFrame, base: str, source: str, entity: str, partition_by=None, mode: str = "append") -> str:
-    return write_layer(df, base, "bronze", source, entity, partition_by, mode)
-
-
-def write_silver(df: DataFrame, base: str, source: str, entity: str, partition_by=None, mode: str = "append") -> str:
-    return write_layer(df, base, "silver", source, entity, partition_by, mode)
-
-
-def write_gold(df: DataFrame, base: str, source: str, entity: str, partition_by=None, mode: str = "append") -> str:
-    return write_layer(df, base, "gold", source, entity, partition_by, mode)
-
-
 def write_staging(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], format: str = "parquet") -> str:
     """Replace exactly the partitions ``df`` has rows for; others stay, so a rerun
     adds nothing.
 
@@ -63,21 +57,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
-        .parquet(path)
+        .format(format)
+        .save(path)
     )
     return path
 
 
-def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.date]) -> str:
+def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.date], format: str = "parquet") -> str:
     """Replace one partition as a whole, also when ``df`` is empty now.
 
     Rows are written beside it, under a name readers skip, and take the partition's
     place once they are complete: a write that fails leaves the old rows.
     """
     target = partition_path(path, values)
-    beside = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    beside = f"{path.rstrip('/')}{'/_new' if values else '_new'}-{uuid.uuid4().hex}"
     try:
-        df.drop(*values).write.parquet(beside)
+        df.drop(*values).write.format(format).save(beside)
         replace_path(df.sparkSession, beside, target)
     finally:
         delete_path(df.sparkSession, beside)
@@ -101,6 +96,13 @@ def expire_partitions(
     return expired
 
 
+def in_stored_order(df: DataFrame, layer: str, table: str) -> DataFrame:
+    """Rows of a task in the order declared for a stored table, so that the ranges of its row groups
+    are narrow. Nothing is shuffled; see :func:`clustered` for narrow files."""
+    _, order = MEDALLION[layer][table]
+    return df.sortWithinPartitions(*[c for c in order if c in df.columns])
+
+
 def align(df: DataFrame, target: str | T.StructType) -> DataFrame:
     """``df`` with the target's columns, order and types; missing ones are NULL."""
     schema = struct_of(target) if isinstance(target, str) else target

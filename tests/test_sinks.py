@@ -1,5 +1,6 @@
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +15,20 @@ def days(spark, n, rows_per_day=3):
 
 def test_layers(spark, tmp_path):
     base = str(tmp_path)
-    for write, layer in ((K.write_bronze, "bronze"), (K.write_silver, "silver"), (K.write_gold, "gold")):
+    for layer in ("bronze", "silver", "gold"):
         for _ in range(2):
-            assert write(spark.range(2), base, "s", "e") == f"{base}/{layer}/s/e"
+            assert K.write_layer(spark.range(2), base, layer, "s", "e") == f"{base}/{layer}/s/e"
         assert spark.read.parquet(f"{base}/{layer}/s/e").count() == 4
     path = K.write_layer(spark.range(2), base, "x", "s", "e", mode="overwrite", format="json")
     assert spark.read.json(path).count() == 2
+    for n in (3, 1):
+        path = K.write_layer(spark.range(n), base, "silver", "s", "e", mode="overwrite")
+        assert spark.read.parquet(path).count() == n
+    for _ in range(2):
+        path = K.write_layer(days(spark, 2), base, "gold", "s", "days", ["day"], mode="overwrite")
+    assert spark.read.parquet(path).count() == 6
+    with pytest.raises(ValueError):
+        K.write_layer(spark.range(1), base, "x", "s", "e", mode="ignore")
     assert spark.read.parquet(K.write_staging(spark.range(3), f"{base}/st")).count() == 3
     assert spark.read.parquet(K.write_staging(spark.range(2), f"{base}/st")).count() == 2
 
@@ -84,7 +93,7 @@ def test_create_tables(spark):
         for name in names:
             assert spark.table(name).isEmpty()
     assert [f.name for f in spark.table("lake_silver.delta_events").schema][-1] == "ref_date"
-    assert spark.table("lake_silver.current_state").columns[-1] == "state_date"
+    assert spark.table("lake_silver.current_state").columns[-2:] == ["version", "table_name"]
 
 
 def test_created_tables_show_what_the_jobs_write(spark, tmp_path):

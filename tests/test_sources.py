@@ -167,10 +167,10 @@ def test_scan_catalog(spark):
 
 
 def test_read_layer_prunes(spark, tmp_path):
-    from snapdelta.sinks.layers import write_bronze
+    from snapdelta.sinks.layers import write_layer
 
     df = spark.range(4).withColumn("reference_date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")))
-    path = write_bronze(df, str(tmp_path), "db", "t", ["reference_date"])
+    path = write_layer(df, str(tmp_path), "bronze", "db", "t", ["reference_date"])
     assert path == f"{tmp_path}/bronze/db/t"
     one = S.read_layer(spark, str(tmp_path), "bronze", "db", "t", "2024-01-03")
     assert [r.id for r in one.collect()] == [2]
