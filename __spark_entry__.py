@@ -11,11 +11,14 @@ Dates leave a query as ISO text and decimals as doubles, in Spark and in SQL.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from snapdelta.functions import (
     add_row_hash,
@@ -25,13 +28,16 @@ from snapdelta.functions import (
     normalize_case,
     primary_key,
     row_hash,
+    valid_operation,
     with_year_month,
 )
-from snapdelta.operators import aggregates, catalog, delta, ledger, metrics, profile, quality, state
+from snapdelta.operators import aggregates, catalog, delta, ledger, metrics, profile, quality, sketches, state
 from snapdelta.operators.envelope import (
     for_snapshot,
+    has_columns,
     name_in,
     name_like,
+    numeric_columns,
     parse_payload,
     rename_project,
     to_envelope,
@@ -39,16 +45,18 @@ from snapdelta.operators.envelope import (
     with_snapshot_hash,
 )
 from snapdelta.plans.bronze import ingest_table, ingest_tables, load_envelope, snapshot_path
-from snapdelta.plans.daily import run_day
+from snapdelta.plans.daily import ddl_for_missing, read_lineage, read_metadata, run_as_of, run_day
 from snapdelta.plans.gold import gold_path, read_change_metrics, read_quality_metrics
 from snapdelta.plans.lake import read_contract_results, run_lake
-from snapdelta.plans.silver import silver_dedupe, silver_transform, typed_silver
+from snapdelta.plans.silver import read_events, read_state, silver_dedupe, silver_transform, typed_silver
 from snapdelta.plans.specs import TableSpec
 from snapdelta.schemas import INGESTION_CONTROL, RUN_METRICS, TABLE_METADATA
-from snapdelta.session import new_path
-from snapdelta.sinks.ddl import catalog_to_ddl
-from snapdelta.sinks.layers import align, clustered, overwrite_partitions, write_layer
-from snapdelta.sources.tables import read_layer, read_page, stage
+from snapdelta.session import RunScope, new_path
+from snapdelta.sinks.compaction import append_run, compact_partition, read_runs_of
+from snapdelta.sinks.ddl import catalog_to_ddl, schema_to_ddl
+from snapdelta.sinks.layers import align, append_aligned, clustered, overwrite_partitions, write_layer, write_staging
+from snapdelta.sources.pages import read_deep_page
+from snapdelta.sources.tables import first_available, read_catalog_table, read_layer, read_page, scan_catalog, stage
 from snapdelta.streaming import gold, sales
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -58,16 +66,26 @@ MONTH_END = "2024-01-30"
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
+_open: list[RunScope] = []
+
+
+def scoped(fn: Query) -> Query:
+    """The query with what it stages in a scope of its own; gone at once if it fails."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with RunScope(spark) as scope:
+            df = fn(spark, sf_dir)
+            _open.append(scope.detach())  # the result may still read what was staged
+        return df
+
+    return run
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, if there is one, its SQL."""
 
     def register(fn: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _plain(fn(spark, sf_dir))
-
-        _queries[name] = run
+        _queries[name] = scoped(lambda spark, sf_dir: _plain(fn(spark, sf_dir)))
         if sql is not None:
             _oracles[name] = sql
         return fn
@@ -75,6 +93,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def release() -> None:
+    """Remove what the queries so far have staged, once their results are used up; also done
+    when the interpreter ends."""
+    while _open:
+        with contextlib.suppress(Exception):  # the session may be gone by then
+            _open.pop().close()
+
+
+atexit.register(release)
+
+
 def row_count_of(df: DataFrame) -> int:
     return aggregates.row_count(df).first()["row_count"]
 
@@ -1132,14 +1161,25 @@ def distinct_by_hash(spark, sf_dir):
     return kept.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("sample_count", "SELECT count(*) AS row_count FROM (SELECT * FROM orders LIMIT 25)")
+@query(
+    "sample_count",
+    "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS orders, count(*) AS known FROM (SELECT * FROM orders LIMIT 25)",
+)
 def sample_count(spark, sf_dir):
-    return aggregates.row_count(aggregates.sample_rows(_orders(spark, sf_dir), 25))
+    """The sample's rows are 25 different ones of the table."""
+    orders = _orders(spark, sf_dir)
+    sample = stage(aggregates.sample_rows(orders, 25)).withColumn("sampled", F.lit(1))
+    known = sample.join(orders, orders.columns, "left_semi")
+    return known.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_orderkey").alias("orders"), F.sum("sampled").alias("known")
+    )
 
 
-@query("sorted_names", "SELECT c_name FROM customer")
+@query("sorted_names", "SELECT c_name FROM customer ORDER BY c_name DESC LIMIT 40")
 def sorted_names(spark, sf_dir):
-    return aggregates.sorted_names(_table(spark, sf_dir, "customer").select("c_name"), "c_name")
+    """The last names in order: wrong ones if nothing is sorted."""
+    names = aggregates.sorted_names(_table(spark, sf_dir, "customer").select("c_name"), "c_name")
+    return names.offset(max(0, row_count_of(names) - 40))
 
 
 @query(
@@ -1435,6 +1475,229 @@ def ddl_text(spark, sf_dir):
     return catalog_to_ddl(columns)
 
 
+# --- deep pages, sketches, compacted metrics -----------------------------------------------------
+
+
+@query(
+    "page_deep",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 40 OFFSET (SELECT 9 * count(*) // 10 FROM lineitem)
+    """,
+)
+def page_deep(spark, sf_dir):
+    """A page nine tenths into the line items."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = _table(spark, sf_dir, "lineitem").select(*keys)
+    return read_deep_page(lines, keys, 40, 9 * row_count_of(lines) // 10, ranges=16, most=2000)
+
+
+@query(
+    "sketched_activity",
+    """
+    SELECT event_type, count(*) AS row_count, true AS users_close, true AS middle_close, true AS top_close
+    FROM events GROUP BY event_type
+    """,
+)
+def sketched_activity(spark, sf_dir):
+    """Sketches of every day, merged over all days, beside exact figures: users within five standard
+    errors, quantiles within three rank errors."""
+    events = _table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    daily = stage(sketches.daily_sketches(events, ["day", "event_type"], ["user_id"], ["value"]))
+    merged = sketches.read_sketches(sketches.merge_sketches(daily, ["event_type"]), [0.5, 0.95])
+    known = events.join(merged, "event_type")
+    exact = known.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("user_id").alias("users"),
+        F.first("user_id_distinct").alias("estimate"),
+        F.avg((F.col("value") < F.col("value_p50")).cast("int")).alias("below"),
+        F.avg((F.col("value") <= F.col("value_p50")).cast("int")).alias("upto"),
+        F.avg((F.col("value") < F.col("value_p95")).cast("int")).alias("below_top"),
+        F.avg((F.col("value") <= F.col("value_p95")).cast("int")).alias("upto_top"),
+    )
+    near = lambda below, upto, q: (F.col(below) - 0.04 <= q) & (F.col(upto) + 0.04 >= q)
+    return exact.select(
+        "event_type",
+        "row_count",
+        (F.abs(F.col("estimate") - F.col("users")) <= 1 + 0.08 * F.col("users")).alias("users_close"),
+        near("below", "upto", 0.5).alias("middle_close"),
+        near("below_top", "upto_top", 0.95).alias("top_close"),
+    )
+
+
+@query(
+    "compacted_metrics",
+    f"""
+    WITH {CHANGES_SQL}, {COUNTS_SQL}
+    SELECT CAST(ref_date AS VARCHAR) AS ref_date, table_name, total_inserts, total_updates, total_deletes FROM counts
+    """,
+)
+def compacted_metrics(spark, sf_dir):
+    """Two runs append the days' counts, each is repeated, before and after they are compacted: every count once."""
+    counts = stage(metrics.change_counts(delta.detect_delta_range(_history(spark, sf_dir))))
+    keys, sums = ["ref_date", "table_name"], ["total_inserts", "total_updates", "total_deletes"]
+    schema = ", ".join(f"{n} {t}" for n, t in counts.dtypes)
+    path = new_path(spark, "change-counts")
+    early = F.dayofmonth("ref_date") <= 15
+    for _ in range(2):
+        for _ in range(2):
+            append_run(counts.filter(early), path, "month=202401", "first")
+            append_run(counts.filter(~early), path, "month=202401", "second")
+        compact_partition(spark, path, "month=202401", schema, lambda df: state.collapse_sum(df, keys, sums))
+    return read_runs_of(spark, path, "month=202401", schema)
+
+
+# --- one table, several ways in and out ------------------------------------------------------------
+
+STATUS_SQL = "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus"
+
+
+def _by_status(df: DataFrame) -> DataFrame:
+    return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("catalog_table", STATUS_SQL)
+def catalog_table(spark, sf_dir):
+    _orders(spark, sf_dir).createOrReplaceTempView("orders_of_catalog")
+    return _by_status(read_catalog_table(spark, "orders_of_catalog"))
+
+
+@query("staging_table", STATUS_SQL)
+def staging_table(spark, sf_dir):
+    path = new_path(spark, "staging")
+    write_staging(_prev_orders(spark, sf_dir), path)
+    return _by_status(spark.read.parquet(write_staging(_orders(spark, sf_dir), path)))
+
+
+@query("first_available", STATUS_SQL)
+def first_available_query(spark, sf_dir):
+    """A missing file and an empty table are passed over."""
+    orders = _orders(spark, sf_dir)
+    candidates = [
+        lambda: spark.read.parquet(f"{sf_dir}/no-such-table.parquet"),
+        lambda: orders.filter("o_orderkey < 0"),
+        lambda: orders,
+    ]
+    return _by_status(first_available(candidates))
+
+
+@query(
+    "append_aligned",
+    """
+    SELECT c_mktsegment AS segment, count(*) AS rows, count(c_acctbal) AS balances FROM (
+      SELECT c_mktsegment, c_acctbal FROM customer UNION ALL SELECT c_mktsegment, NULL FROM customer)
+    GROUP BY c_mktsegment
+    """,
+)
+def append_aligned_query(spark, sf_dir):
+    """Rows in another order, and rows without a column, appended to one table."""
+    customers = _table(spark, sf_dir, "customer").select("c_acctbal", F.col("c_mktsegment").alias("segment"))
+    schema, path = "segment STRING, c_acctbal DOUBLE", new_path(spark, "aligned")
+    for rows in (customers, customers.drop("c_acctbal").withColumn("unknown", F.lit(1))):
+        append_aligned(rows, schema, path)
+    return spark.read.parquet(path).groupBy("segment").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("c_acctbal").alias("balances")
+    )
+
+
+@query(
+    "scan_catalog",
+    """
+    SELECT 'tpc.customer' AS name, 'MAPPED' AS status, count(*) AS rows FROM customer
+    UNION ALL SELECT 'tpc.supplier', 'SKIPPED', 0 UNION ALL SELECT 'tpc.nowhere', 'FAILED', 0
+    """,
+)
+def scan_catalog_query(spark, sf_dir):
+    """One table has the columns, one lacks them, one cannot be read."""
+    names = [("tpc", n) for n in ("customer", "supplier", "nowhere")]
+    found = scan_catalog(
+        lambda owner, name: _table(spark, sf_dir, name), names, ["c_custkey", "c_name"], {"c_custkey": "id", "c_name": "name"}
+    )
+    parts = []
+    for t in found:
+        rows = t.df if t.df is not None else _table(spark, sf_dir, "customer").limit(0).select(F.col("c_custkey").alias("id"))
+        label = F.lit(f"{t.owner}.{t.table_name}").alias("name")
+        parts.append(rows.agg(label, F.lit(t.status).alias("status"), F.count("id").alias("rows")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("list_columns", "SELECT column_name, CAST(row_number() OVER () AS INTEGER) AS column_id FROM (DESCRIBE orders)")
+def list_columns_query(spark, sf_dir):
+    return catalog.list_columns(_table(spark, sf_dir, "orders")).select("column_name", "column_id")
+
+
+@query(
+    "numeric_totals",
+    """
+    SELECT CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS l_quantity, CAST(sum(l_orderkey) AS BIGINT) AS l_orderkey,
+           CAST(sum(l_linenumber) AS BIGINT) AS l_linenumber FROM lineitem
+    """,
+)
+def numeric_totals(spark, sf_dir):
+    """Totals of the numeric columns a table turns out to have."""
+    lines = _lines(spark, sf_dir).select("l_orderkey", "l_returnflag", "l_shipdate", "l_quantity", "l_linenumber")
+    if not has_columns(lines, ["L_ORDERKEY", "l_shipdate"]) or has_columns(lines, ["l_comment"]):
+        raise ValueError("line items have other columns than expected")
+    return lines.agg(*[F.sum(c).alias(c) for c in numeric_columns(lines)])
+
+
+@query("explore_table", "SELECT count(*) AS row_count, (SELECT count(*) FROM (DESCRIBE part)) AS columns FROM part")
+def explore_table(spark, sf_dir):
+    parts = profile.explore_table(_table(spark, sf_dir, "part"))
+    columns = row_count_of(parts["columns"])
+    return parts["row_count"].withColumn("columns", F.lit(columns).cast("bigint"))
+
+
+@query(
+    "valid_operations",
+    """
+    SELECT event_type, event_type IN ('signup', 'error') AS valid, count(*) AS events FROM events GROUP BY event_type
+    """,
+)
+def valid_operations(spark, sf_dir):
+    """Event types as operations: a signup inserts, an error deletes, others are none."""
+    kinds = F.when(F.col("event_type") == "signup", "INSERT").when(F.col("event_type") == "error", "DELETE").otherwise(F.col("event_type"))
+    events = _table(spark, sf_dir, "events").withColumn("valid", valid_operation(kinds))
+    return events.groupBy("event_type", "valid").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query(
+    "schema_ddl",
+    """
+    SELECT 'stage.orders' AS target, 'CREATE TABLE IF NOT EXISTS stage.orders (' || string_agg(column_name || ' ' ||
+             CASE column_type WHEN 'BIGINT' THEN 'Int64' WHEN 'DOUBLE' THEN 'Float64' ELSE 'String' END, ', ') ||
+           ', snapshot_date Date, record_hash FixedString(64)) ENGINE = MergeTree PARTITION BY snapshot_date ' ||
+           'ORDER BY (o_orderkey) SETTINGS index_granularity = 8192' AS ddl
+    FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders)
+    """,
+)
+def schema_ddl(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").drop("o_orderdate")
+    ddl = schema_to_ddl(orders.schema, "stage.orders", ["o_orderkey"])
+    return spark.createDataFrame([("stage.orders", ddl)], "target STRING, ddl STRING")
+
+
+@query(
+    "ddl_for_missing",
+    """
+    SELECT 'PARTS' AS owner, p_type AS table_name FROM part GROUP BY p_type
+    HAVING p_type NOT IN (SELECT p_type FROM part WHERE p_size < 5)
+    """,
+)
+def ddl_for_missing_query(spark, sf_dir):
+    """Types that have no small part count as tables not created yet."""
+    parts = _table(spark, sf_dir, "part")
+    columns = parts.select(
+        F.lit("PARTS").alias("owner"),
+        F.col("p_type").alias("table_name"),
+        F.lit(1).alias("column_id"),
+        F.lit("p_name").alias("column_name"),
+        F.lit("VARCHAR2").alias("data_type"),
+    ).distinct()
+    existing = parts.filter("p_size < 5").select(F.col("p_type").alias("table_name")).distinct()
+    return ddl_for_missing(columns, existing).filter(F.col("ddl").contains("p_name String")).select("owner", "table_name")
+
+
 # --- layers and whole runs -----------------------------------------------------------------------
 
 
@@ -1480,16 +1743,29 @@ def layer_day(spark, sf_dir):
 @query(
     "clustered_lines",
     """
-    SELECT l_returnflag, l_suppkey, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
-    FROM lineitem GROUP BY 1, 2
+    SELECT l_returnflag, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+           min(l_suppkey) AS first_supplier, max(l_suppkey) AS last_supplier, false AS overlapping
+    FROM lineitem GROUP BY l_returnflag
     """,
 )
 def clustered_lines(spark, sf_dir):
+    """Files of a flag hold ranges of suppliers that touch at most in one supplier."""
     rows = clustered(_lines(spark, sf_dir), ["l_returnflag"], ["l_suppkey", "l_orderkey"])
-    return (
-        stage(rows)
-        .groupBy("l_returnflag", "l_suppkey")
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+    stored = stage(rows)
+    files = stored.groupBy("l_returnflag", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("l_quantity").alias("quantity"),
+        F.min("l_suppkey").alias("low"),
+        F.max("l_suppkey").alias("high"),
+    )
+    earlier = Window.partitionBy("l_returnflag").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("overlapping", F.coalesce(F.col("low") < F.max("high").over(earlier), F.lit(False)))
+    return files.groupBy("l_returnflag").agg(
+        F.sum("lines").alias("lines"),
+        F.sum("quantity").alias("quantity"),
+        F.min("low").alias("first_supplier"),
+        F.max("high").alias("last_supplier"),
+        F.max("overlapping").alias("overlapping"),
     )
 
 
@@ -1636,6 +1912,76 @@ def daily_run_quality(spark, sf_dir):
     return read_quality_metrics(spark, _two_days(spark, sf_dir), REF_DAY).drop("calculated_at")
 
 
+def _gated_run(spark: SparkSession, sf_dir: str) -> str:
+    """A gated day over orders and line items, whose key is not unique; returns its folder."""
+    base = new_path(spark, "gated-run")
+    tables = {"orders": _orders(spark, sf_dir), "lineitem": _lines(spark, sf_dir)}
+    specs = [
+        TableSpec("orders", "orders", "sales", "files", ("o_orderkey",), row_count_min=10, reference_date="D-1", owner="data", domain="sales"),
+        TableSpec("lines", "lineitem", "sales", "files", ("l_orderkey",), row_count_min=10, reference_date="D-1", owner="data", domain="sales"),
+    ]
+    run_as_of(spark, lambda s: tables[s.table], specs, base, REF_DAY, gate=True)
+    return base
+
+
+@query(
+    "daily_run_contracts",
+    f"""
+    SELECT 'sales.orders' AS table_name, 'events' AS kind, count(*) AS rows FROM orders
+    UNION ALL SELECT 'sales.orders', 'state', count(*) FROM orders
+    UNION ALL SELECT 'lines', 'duplicates', count(*) - count(DISTINCT l_orderkey) FROM lineitem
+    """,
+)
+def daily_run_contracts(spark, sf_dir):
+    """Line items break their contract: they stay out of silver. ``D-1`` is the day before."""
+    base = _gated_run(spark, sf_dir)
+    kinds = {"events": read_events(spark, base, PREV_DAY), "state": read_state(spark, base, PREV_DAY)}
+    parts = [df.groupBy("table_name").agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("rows")) for k, df in kinds.items()]
+    failed = read_contract_results(spark, base, PREV_DAY).filter("NOT passed")
+    parts.append(failed.select("table_name", F.lit("duplicates").alias("kind"), F.col("actual").cast("bigint").alias("rows")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "daily_run_duplicates",
+    f"""
+    SELECT 'sales.orders' AS table_name, 0::BIGINT AS null_count, 0::BIGINT AS duplicate_count, count(*) AS total_records,
+           100.0::DOUBLE AS quality_score FROM orders
+    UNION ALL SELECT 'sales.lineitem', 0, count(*) - count(DISTINCT l_orderkey), count(*),
+           100.0::DOUBLE * (1.0::DOUBLE - CAST(count(*) - count(DISTINCT l_orderkey) AS DOUBLE) / count(*)) FROM lineitem
+    """,
+)
+def daily_run_duplicates(spark, sf_dir):
+    """The day's quality counts the rows of the table that was kept out."""
+    rows = read_quality_metrics(spark, _gated_run(spark, sf_dir), PREV_DAY)
+    return rows.drop("calculated_at", "ref_date")
+
+
+@query(
+    "run_lineage",
+    """
+    SELECT * FROM (VALUES ('sales.orders', 'bronze.sales.orders', 'snapshot'), ('bronze.sales.orders', 'silver.delta_events', 'compare'),
+      ('silver.delta_events', 'silver.current_state', 'apply'), ('silver.delta_events', 'gold.daily_change_metrics', 'aggregate'),
+      ('bronze.sales.orders', 'gold.data_quality_metrics', 'aggregate')) AS t(source_table, target_table, transformation_type)
+    WHERE (SELECT count(*) FROM orders) > 0
+    """,
+)
+def run_lineage(spark, sf_dir):
+    return read_lineage(spark, _gated_run(spark, sf_dir)).drop("pipeline_name", "execution_timestamp")
+
+
+@query(
+    "run_metadata",
+    """
+    SELECT 'sales.orders' AS name, 'sales' AS domain, 'data' AS owner, 'files' AS source_system, count(*) AS row_count FROM orders
+    UNION ALL SELECT 'sales.lineitem', 'sales', 'data', 'files', count(*) FROM lineitem
+    """,
+)
+def run_metadata(spark, sf_dir):
+    rows = read_metadata(spark, _gated_run(spark, sf_dir))
+    return rows.select("name", "domain", "owner", "source_system", "row_count")
+
+
 # --- training-data operators, if their subpackage is there ---------------------------------------------
 
 core = tuple(_queries)
@@ -1643,10 +1989,10 @@ try:
     import corpus_pipeline
     from snapdelta.llm import queries as training
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "snapdelta.llm"):
+    if missing.name not in ("corpus_pipeline", "snapdelta.llm", "public_tokenizers", "regex", "tokenizers"):
         raise
 else:
-    _queries |= training.QUERIES | {"pipeline": corpus_pipeline.run}
+    _queries |= {name: scoped(fn) for name, fn in (training.QUERIES | {"pipeline": corpus_pipeline.run}).items()}
     _oracles |= training.ORACLES
     if corpus_pipeline.ORACLE_SQL:
         _oracles["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -122,10 +122,11 @@ def _tidy(spark: SparkSession, path: str) -> None:
     drop_unnamed(spark, path, version["days"].values())
 
 
-def forget_days(spark: SparkSession, path: str, before: dt.date) -> list[str]:
-    """Drop the merged rows of days before ``before``; returns the days."""
+def forget_days(spark: SparkSession, path: str, before: dt.date, keep: Collection[dt.date] = ()) -> list[str]:
+    """Drop the merged rows of days before ``before``, but for those to ``keep``; returns the days."""
     version = read_version(spark, path)
-    gone = sorted(d for d in (version or {}).get("days", {}) if d < str(before))
+    kept = {str(d) for d in keep}
+    gone = sorted(d for d in (version or {}).get("days", {}) if d < str(before) and d not in kept)
     if gone:
         kept = {d: f for d, f in version["days"].items() if d not in set(gone)}
         write_version(spark, path, next_name(spark, path), {"days": kept, "absorbed": version["absorbed"]})

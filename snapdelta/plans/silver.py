@@ -130,13 +130,16 @@ def read_events(spark: SparkSession, base: str, ref_date: str | dt.date) -> Data
 # --- key indexes: what a day's comparison reads ----------------------------------------
 
 
-def write_key_index(spark: SparkSession, base: str, ref_date: str | dt.date, buckets: int = BUCKETS) -> dict:
-    """Index a day's snapshots: key, newest hash and number of rows of every key, in sorted
+def write_key_index(
+    spark: SparkSession, base: str, ref_date: str | dt.date, buckets: int = BUCKETS, tables: Sequence[str] | None = None
+) -> dict:
+    """Index a day's snapshots (of ``tables``): key, newest hash and number of rows of every key, in sorted
     buckets, with their digests. Returns the version that names it; a rerun replaces it."""
     root, day = index_path(base), str(ref_date)
     folder = f"version={next_name(spark, root, day)}-{uuid.uuid4().hex[:8]}"
     path = f"{root}/{folder}"
     rows = read_snapshots(spark, base, ref_date)
+    rows = rows if tables is None else rows.filter(F.col("table_name").isin(*tables))
     newest = F.struct("ingestion_timestamp", "row_hash")
     index = rows.groupBy(*KEYS).agg(F.max(newest).getField("row_hash").alias("row_hash"), F.count(F.lit(1)).alias("copies"))
     write_buckets(index, f"{path}/rows", KEYS, buckets)
@@ -258,7 +261,7 @@ def process_silver(
     record_ingestion(spark, ledger_path(base), [ledger_row(day, SILVER_SCHEMA, STATE_TABLE, STARTED, started)])
     cur, prev = (read_snapshots(spark, base, d) for d in (day, previous_day))
 
-    index, before = write_key_index(spark, base, day, buckets), key_index(spark, base, previous_day)
+    index, before = write_key_index(spark, base, day, buckets, tables), key_index(spark, base, previous_day)
     rows_of = _rows_per_table(spark, base, index)
     indexed = set(_rows_per_table(spark, base, before)) if before else set()
     known, new = [t for t in tables if t in indexed], [t for t in tables if t not in indexed]

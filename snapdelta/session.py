@@ -56,9 +56,46 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+class RunScope:
+    """Owns the paths that :func:`new_path` gives while it is open, and removes what lies there when
+    it is closed: on success and on failure, so nothing staged outlives its run.
+
+    A result that still reads staged rows keeps its scope open: leave it with
+    :meth:`detach`, and :meth:`close` it when the result is used up.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> RunScope:
+        _scopes.append(self)
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if self in _scopes:  # not detached
+            _scopes.remove(self)
+            self.close()
+
+    def detach(self) -> RunScope:
+        """Take no further paths; those taken stay until :meth:`close`."""
+        _scopes.remove(self)
+        return self
+
+    def close(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+
+_scopes: list[RunScope] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, owned by the innermost open :class:`RunScope`."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].paths.append(path)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

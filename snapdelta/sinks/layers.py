@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Sequence
@@ -89,7 +90,11 @@ def expire_partitions(
     limit = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=days)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    found = [dt.date.fromisoformat(n.removeprefix(f"{date_col}=")) for n in names if n.startswith(f"{date_col}=2")]
+    found = []
+    for name in names:
+        with contextlib.suppress(ValueError):  # a folder of another kind, or of rows without a day
+            if name.startswith(f"{date_col}="):
+                found.append(dt.date.fromisoformat(name.removeprefix(f"{date_col}=")))
     expired = sorted(d for d in found if d < limit)
     for day in expired:
         delete_path(spark, partition_path(path, {date_col: day}))

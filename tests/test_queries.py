@@ -46,6 +46,26 @@ def test_query(spark, db, name):
     assert got == want
 
 
+def left_behind(spark):
+    import pathlib
+
+    return sorted(p.name for p in pathlib.Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+
+
+def test_queries_leave_nothing_staged(spark, monkeypatch):
+    entry.release()
+    before = left_behind(spark)
+    for name in ("delta_events_late_payload", "daily_run_changes", "stream_customer_ltv"):
+        assert entry.queries()[name](spark, SF_DIR).count() and left_behind(spark) != before
+        entry.release()
+        assert left_behind(spark) == before
+    monkeypatch.setattr(entry.ledger, "now", lambda: 1 / 0)
+    monkeypatch.setattr(entry.delta, "attach_payload", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        entry.queries()["delta_events_late_payload"](spark, SF_DIR)
+    assert left_behind(spark) == before
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
