@@ -1,14 +1,17 @@
 """Quality rules: base counts per document, then robust multivariate outliers.
 
 Every document gets four counts and a base rule. Documents that pass are compared
-with their own language and source: minimum-covariance-determinant estimates of
-location and scatter come from concentration steps (each keeps the share of
-documents nearest to the current estimate and estimates again), and a document is
-rejected if its Mahalanobis distance is beyond a chi-square quantile.
-
-A concentration step is one aggregation: distances fall into narrow bins, sums per
-group and bin are combined before the shuffle, and the nearest bins that reach the
-share give the next estimate. Vectors are integers (thousandths), so sums are exact
+with their own language and source by minimum-covariance-determinant estimates of
+location and scatter: of all halves of a group, that with the least determinant of its
+scatter is sought by concentration steps (each keeps the share of documents nearest to
+the current estimate and estimates again, which lowers the determinant) from several
+deterministic starts: all documents, the nearest by the floors, and the nearest in each statistic
+alone. Every start goes on until its determinant stops falling, and the least one
+wins. A document is rejected if its Mahalanobis distance is beyond a chi-square quantile.
+
+A concentration step is one aggregation, over the starts of all groups together: distances fall into
+narrow bins, sums per group, start and bin are combined before the shuffle, and the nearest bins that
+reach the share give the next estimate. Vectors are integers (thousandths), so sums are exact
 and results do not depend on the order of rows. A group of a third of all rows
 leaves each map task as a few hundred rows.
 
@@ -48,7 +51,9 @@ DIMS = 4
 FLOORS = (0.06, 0.2, 0.5, 0.4)
 #: Share of a group that estimates rest on: almost half of it may be junk.
 SHARE = 0.5
-STEPS = 4
+#: A start ends when a step lowers its determinant by less than this share, or after so many steps.
+LEAST_GAIN = 1e-3
+MOST_STEPS = 12
 MIN_GROUP = 30
 TAIL = 1e-5
 
@@ -161,8 +166,15 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
+def _starts() -> list[np.ndarray]:
+    """Inverse scatters (around 0) that the searches start from: none, so that all documents
+    count; the floors; each statistic alone."""
+    floor = np.linalg.inv(_floor_matrix())
+    return [np.zeros((DIMS, DIMS)), floor, *[np.diag(np.eye(DIMS)[i] * np.diag(floor)) for i in range(DIMS)]]
+
+
 def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of each group's nearest rows to centre and inverse scatter."""
+    """Sums of each group's nearest rows to centre, inverse scatter and log determinant."""
     quantile = chi2_quantile(DIMS, SHARE)
     scale = SHARE / _cdf(DIMS + 2, quantile)
     for g in batches:
@@ -173,14 +185,15 @@ def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scatter = np.zeros((len(g), DIMS, DIMS))
         for i, j in _pairs():
             scatter[:, i, j] = scatter[:, j, i] = g[f"q{i}{j}"].to_numpy(float) / n - centre[:, i] * centre[:, j]
-        inverse = np.linalg.inv(scale * scatter + _floor_matrix())
-        out = {"_lang": g["_lang"], "_source": g["_source"]}
+        scatter = scale * scatter + _floor_matrix()
+        inverse = np.linalg.inv(scatter)
+        out = {"_lang": g["_lang"], "_source": g["_source"], "_start": g["_start"], "_det": np.linalg.slogdet(scatter)[1]}
         out |= {f"_c{i}": centre[:, i] for i in range(DIMS)}
         out |= {f"_p{i}{j}": inverse[:, i, j] for i, j in _pairs()}
         yield pd.DataFrame(out)
 
 
-ESTIMATE = "_lang STRING, _source STRING, " + ", ".join(
+ESTIMATE = "_lang STRING, _source STRING, _start INT, _det DOUBLE, " + ", ".join(
     [f"_c{i} DOUBLE" for i in range(DIMS)] + [f"_p{i}{j} DOUBLE" for i, j in _pairs()]
 )
 
@@ -218,29 +231,50 @@ def estimates(stages: Stages, counted: DataFrame, lang: str = "lang", source: st
     medians = stages.write(medians, "rules-medians")
     groups = groups.join(medians, ["_lang", "_source"])
 
-    start = {f"_c{i}": F.lit(0.0) for i in range(DIMS)}
-    floor = np.linalg.inv(_floor_matrix())
-    start |= {f"_p{i}{j}": F.lit(float(floor[i, j])) for i, j in _pairs()}
-    estimate = medians.select("_lang", "_source").withColumns(start)
     vectors = rows.join(parts.join(medians, ["_lang", "_source"]), ["_lang0", "_source0"]).select("_lang", "_source", *_vector())
     vectors = stages.write(vectors, "rules-vectors")
-    for step in range(STEPS):
-        near = vectors.join(estimate, ["_lang", "_source"]).withColumn(
+    estimate = least_determinant(stages, vectors, medians.select("_lang", "_source"))
+    return groups.join(estimate, ["_lang", "_source"]).drop("_lang", "_source")
+
+
+def least_determinant(stages: Stages, vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """Centre and inverse scatter of each group's half with the least determinant found."""
+    key = ["_lang", "_source", "_start"]
+    columns = [*[f"_c{i}" for i in range(DIMS)], *[f"_p{i}{j}" for i, j in _pairs()]]
+    starts = [
+        F.struct(F.lit(n).alias("_start"), F.lit(float("inf")).alias("_det"), F.lit(False).alias("_done"),
+                 *[F.lit(0.0).alias(f"_c{i}") for i in range(DIMS)], *[F.lit(float(p[i, j])).alias(f"_p{i}{j}") for i, j in _pairs()])
+        for n, p in enumerate(_starts())
+    ]
+    current = groups.select("_lang", "_source", F.inline(F.array(*starts)))
+    for step in range(MOST_STEPS):
+        going = current.filter("NOT _done")
+        near = vectors.join(going.drop("_det", "_done"), ["_lang", "_source"]).withColumn(
             "bin", F.floor(64 * F.log2(1 + _distance())).cast("int")
         )
         sums = [F.count("*").alias("n"), *[F.sum(f"_v{i}").alias(f"s{i}") for i in range(DIMS)]]
         sums += [F.sum(F.col(f"_v{i}") * F.col(f"_v{j}")).alias(f"q{i}{j}") for i, j in _pairs()]
-        bins = near.groupBy("_lang", "_source", "bin").agg(*sums)
-        group = Window.partitionBy("_lang", "_source")
+        bins = near.groupBy(*key, "bin").agg(*sums)
+        group = Window.partitionBy(*key)
         bins = bins.withColumns({
             "before": F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "size": F.sum("n").over(group),
         })
-        nearest = bins.filter(F.col("before") < SHARE * F.col("size")).groupBy("_lang", "_source")
+        nearest = bins.filter(F.col("before") < SHARE * F.col("size")).groupBy(*key)
         cols = ["n", *[f"s{i}" for i in range(DIMS)], *[f"q{i}{j}" for i, j in _pairs()]]
         summed = nearest.agg(*[F.sum(c).cast("double").alias(c) for c in cols])
-        estimate = stages.write(summed.mapInPandas(_invert, ESTIMATE), f"rules-step{step}")
-    return groups.join(estimate, ["_lang", "_source"]).drop("_lang", "_source")
+        new = summed.mapInPandas(_invert, ESTIMATE)
+        # The first two steps only lead from the start to a half; from then on the least one stays.
+        fell = F.col("new._det") < F.col("old._det") - LEAST_GAIN if step > 1 else F.lit(True)
+        pick = lambda c: F.when(fell, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)  # noqa: B023, E731
+        moved = going.alias("old").join(new.alias("new"), key).select(
+            *[F.col(f"old.{c}") for c in key], pick("_det"), (~fell).alias("_done"), *[pick(c) for c in columns]
+        )
+        current = stages.write(moved.unionByName(current.filter("_done")), f"rules-step{step}")
+        if current.filter("NOT _done").isEmpty():
+            break
+    best = current.groupBy("_lang", "_source").agg(F.min_by(F.struct(*columns), F.struct("_det", "_start")).alias("e"))
+    return best.select("_lang", "_source", *[F.col(f"e.{c}").alias(c) for c in columns])
 
 
 def judged(counted: DataFrame, estimate: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -258,11 +292,11 @@ def judged(counted: DataFrame, estimate: DataFrame, lang: str = "lang", source:
 def quality_rules(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Counts and verdicts of all documents: ``doc_id``, the counts, ``base_failed``,
     ``kept`` and the squared distance. Repeated rows are judged each on its own."""
-    spark = docs.sparkSession
-    stages = Stages(spark)
     slim = docs.select("doc_id", text_col, lang, source)
-    counted = stages.write(with_counts(slim, text_col, drop_text=True), "rules-counts")
-    out = judged(counted, estimates(stages, counted, lang, source), lang, source)
+    with Stages(docs.sparkSession) as stages:
+        counted = stages.write(with_counts(slim, text_col, drop_text=True), "rules-counts", keep=True)
+        estimate = stages.write(estimates(stages, counted, lang, source), "rules-estimate", keep=True)
+    out = judged(counted, estimate, lang, source)
     return out.select(
         "doc_id",
         *[F.col(f"_{c}").alias(c) for c in COUNTS],
@@ -275,8 +309,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang: str = "lang", s
 def keep_good(docs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents kept, all columns. Statistics come from a first pass over all
     texts; a second pass counts again rather than shuffle texts to their verdicts."""
-    stages = Stages(docs.sparkSession)
-    counted = stages.write(with_counts(docs.select("text", lang, source), drop_text=True), "rules-counts")
-    estimate = stages.write(estimates(stages, counted, lang, source), "rules-estimate")
+    with Stages(docs.sparkSession) as stages:
+        counted = stages.write(with_counts(docs.select("text", lang, source), drop_text=True), "rules-counts")
+        estimate = stages.write(estimates(stages, counted, lang, source), "rules-estimate", keep=True)
     rows = judged(with_counts(nested(docs, lang, source)), estimate, lang, source)
     return unnested(rows.filter("_kept"), docs.columns)

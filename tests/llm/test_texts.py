@@ -256,6 +256,42 @@ def test_outliers_are_rejected_and_their_estimates_are_robust(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, k in got.items() if k}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_least_determinant_of_all_halves(spark, seed):
+    """Centre, scatter and distances beside a search through every half of a small group."""
+    import itertools
+
+    from snapdelta.llm.common import Stages
+
+    rng = np.random.default_rng(seed)
+    v = rng.normal(0, 300, (12, 4)).round().astype(int)
+    v[8:] += rng.integers(3000, 9000, 4)  # a third far away, where the mean is not
+    rows = [("vx", "vy", *map(int, r)) for r in v]
+    columns = ["_lang", "_source", "_v0", "_v1", "_v2", "_v3"]
+    with Stages(spark) as stages:
+        vectors = spark.createDataFrame(rows, columns).repartition(3)
+        got = quality_rules.least_determinant(stages, vectors, vectors.select("_lang", "_source").distinct()).first()
+    floor = np.diag([(1000 * f) ** 2 for f in quality_rules.FLOORS])
+    half = quality_rules.chi2_quantile(4, 0.5)
+    scale = 0.5 / quality_rules._cdf(6, half)
+    fits = []
+    for part in itertools.combinations(range(12), 6):
+        x = v[list(part)]
+        scatter = scale * np.cov(x.T, bias=True) + floor
+        fits.append((np.linalg.slogdet(scatter)[1], x.mean(0), scatter))
+    fits.sort(key=lambda f: f[0])
+    found = [got[f"_c{i}"] for i in range(4)]
+    # The search may end in a half that no step improves; it is one of the best, and holds no outlier.
+    rank = next(n for n, f in enumerate(fits) if np.allclose(f[1], found))
+    assert rank == (1 if seed == 1 else 0)  # of 924
+    _, centre, scatter = fits[rank]
+    assert np.abs(centre).max() < 1000
+    inverse = np.array([[got[f"_p{min(i, j)}{max(i, j)}"] for j in range(4)] for i in range(4)])
+    assert np.allclose(inverse, np.linalg.inv(scatter), rtol=1e-6, atol=1e-12)
+    d = v - centre
+    assert np.allclose(np.einsum("ni,ij,nj->n", d, inverse, d), np.einsum("ni,ij,nj->n", d, np.linalg.inv(scatter), d))
+
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
