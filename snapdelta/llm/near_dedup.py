@@ -13,7 +13,10 @@ each has a hub, and members join the hub's canopy if their signatures agree enou
 that a duplicate of the hub's neighbours could be among them (distances obey the
 triangle inequality); members near the hub are done with the bucket, the others get
 a second hub and then a canopy of their own. Canopies are compared exactly, in blocks
-of bounded size, and each block leaves a spanning forest, never its pairs. Components
+of bounded numbers of texts and shingles. First every block is compared within itself and with
+the hub, so that a family of near copies of the hub is one class after its texts were read
+once; only texts not linked to the hub then meet the other blocks of their canopy. Each block
+leaves a spanning forest, never its pairs. Components
 of the links found are the classes; equal texts are one node throughout.
 
 Every document is returned. A document without words is a class by itself, together
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +51,9 @@ REGISTERS = BANDS * ROWS
 CANOPY, DONE = 0.25, 0.65
 HUB_ROUNDS = 2
 BLOCK = 256
-DRAWN = 512
+#: Shingles of a block on average, of texts signed at a time, and of shared ones expanded at a time.
+SHINGLES = 1 << 19
+EXPANDED = 1 << 20
 
 
 def shingles(text: str) -> np.ndarray:
@@ -98,7 +104,13 @@ def signatures(bags: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-SIGNED = pa.schema([("_t1", pa.int64()), ("_t2", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("_t1", pa.int64()), ("_t2", pa.int64()), ("n", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
+
+
+def _portions(lengths: np.ndarray, most: int) -> list[np.ndarray]:
+    """Indexes cut where the lengths before add up to multiples of ``most``."""
+    at = (np.cumsum(lengths) - lengths) // most
+    return np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(at)) + 1) if len(lengths) else []
 
 
 def sign(texts: DataFrame) -> DataFrame:
@@ -106,8 +118,9 @@ def sign(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, DRAWN):
-                part = b.slice(at, DRAWN)
+            lengths = pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False)
+            for rows in _portions(np.nan_to_num(lengths) // 6, SHINGLES):  # a word has about six bytes
+                part = b.slice(rows[0], len(rows))
                 bags = [shingles(t) for t in part.column("text").to_pylist()]
                 has = np.flatnonzero([len(x) for x in bags])
                 if not len(has):
@@ -117,16 +130,17 @@ def sign(texts: DataFrame) -> DataFrame:
                 for r in range(ROWS):
                     bands = mix(bands + values[:, r::ROWS])
                 short = (values >> np.uint64(48)).astype("<u2")
-                rows = pa.array(has)
+                taken = pa.array(has)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("_t1").take(rows), part.column("_t2").take(rows), pa.array([s.tobytes() for s in short], pa.binary()),
+                        part.column("_t1").take(taken), part.column("_t2").take(taken), pa.array([len(bags[i]) for i in has], pa.int64()),
+                        pa.array([s.tobytes() for s in short], pa.binary()),
                         pa.array(list(signed(bands.ravel()).reshape(bands.shape)), pa.list_(pa.int64())),
                     ],
                     schema=SIGNED,
                 )
 
-    return texts.select("_t1", "_t2", "text").mapInArrow(run, "_t1 BIGINT, _t2 BIGINT, signature BINARY, bands ARRAY<BIGINT>")
+    return texts.select("_t1", "_t2", "text").mapInArrow(run, "_t1 BIGINT, _t2 BIGINT, n BIGINT, signature BINARY, bands ARRAY<BIGINT>")
 
 
 def _agreement(pairs: DataFrame) -> DataFrame:
@@ -144,7 +158,8 @@ def _agreement(pairs: DataFrame) -> DataFrame:
 
 
 def canopies(stages: Stages, signs: DataFrame) -> DataFrame:
-    """``canopy, _t1, _t2``: every two texts of a bucket that can be duplicates share one."""
+    """``canopy, _t1, _t2, hub``: every two texts of a bucket that can be duplicates share one;
+    ``hub`` marks the text that the others are near, where there is one."""
     rows = signs.select(F.explode("bands").alias("key"), "_t1", "_t2")
     full = rows.groupBy("key").count().filter("count > 1").select("key")
     rows = stages.write(rows.join(full, "key"), "buckets")
@@ -159,8 +174,8 @@ def canopies(stages: Stages, signs: DataFrame) -> DataFrame:
         agreed = stages.write(_agreement(pairs), f"agreed{i}")
         inside = agreed.filter(F.col("agree") >= CANOPY)
         canopy = F.concat_ws(":", F.lit(i), "h1", "h2").alias("canopy")
-        found.append(inside.select(canopy, F.col("m1").alias("_t1"), F.col("m2").alias("_t2")))
-        found.append(inside.select(canopy, F.col("h1").alias("_t1"), F.col("h2").alias("_t2")).distinct())
+        found.append(inside.select(canopy, F.col("m1").alias("_t1"), F.col("m2").alias("_t2"), F.lit(False).alias("hub")))
+        found.append(inside.select(canopy, F.col("h1").alias("_t1"), F.col("h2").alias("_t2"), F.lit(True).alias("hub")).distinct())
         left = met.filter("_t1 <> h1 OR _t2 <> h2").join(
             agreed.filter(F.col("agree") < DONE).select("h1", "h2", F.col("m1").alias("_t1"), F.col("m2").alias("_t2")),
             ["h1", "h2", "_t1", "_t2"],
@@ -168,7 +183,7 @@ def canopies(stages: Stages, signs: DataFrame) -> DataFrame:
         left = left.select("key", "_t1", "_t2")
         more = left.groupBy("key").count().filter("count > 1").select("key")
         rows = stages.write(left.join(more, "key"), f"left{i}")
-    found.append(rows.select(F.concat_ws(":", F.lit("bucket"), "key").alias("canopy"), "_t1", "_t2"))
+    found.append(rows.select(F.concat_ws(":", F.lit("bucket"), "key").alias("canopy"), "_t1", "_t2", F.lit(False).alias("hub")))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -193,9 +208,13 @@ class Forest:
             self.up[max(i, j)] = min(i, j)
 
 
+LINKED = "canopy STRING, _t1 BIGINT, _t2 BIGINT, r1 BIGINT, r2 BIGINT, near BOOLEAN"
+
+
 def block_links(rows: pd.DataFrame, similarity: tuple[int, int] = SIMILARITY) -> pd.DataFrame:
-    """A forest of the links in a block: each text and the first one of its tree."""
-    rows = rows.sort_values(["_t1", "_t2"], ignore_index=True)
+    """A forest of the links in a block: each text with the first one of its tree, and whether
+    the hub is in that tree. Texts marked ``open`` are only compared with the others, where there are any."""
+    rows = rows.sort_values(["_t1", "_t2", "open"], ignore_index=True)
     bags = []
     for t in rows["text"]:
         # The k-th copy of a shingle is an element of its own: overlaps are then those of multisets.
@@ -205,49 +224,69 @@ def block_links(rows: pd.DataFrame, similarity: tuple[int, int] = SIMILARITY) ->
         bags.append(mix(b + nth.astype(np.uint64) * MIX))
     size = np.array([len(b) for b in bags])
     element, code = np.unique(np.concatenate(bags) if bags else np.zeros(0, np.uint64), return_inverse=True)
-    of = np.repeat(np.arange(len(bags)), size)
+    bags.clear()
+    of = np.repeat(np.arange(len(size)), size)
     order = np.argsort(code, kind="stable")
-    holders = of[order]
+    holders = of[order].astype(np.int32)
     first = np.searchsorted(code[order], np.arange(len(element) + 1))
     at = np.cumsum(size) - size
-    forest = Forest(len(bags))
-    block = rows["block"].to_numpy()
-    across = len(set(block)) > 1
+    forest = Forest(len(size))
+    side = rows["open"].to_numpy(bool)
+    across = side.any()
     p, q = similarity
-    for i in range(len(bags)):
+    for i in np.flatnonzero(side) if across else range(len(size)):
         own = code[at[i] : at[i] + size[i]]
-        own = own[first[own + 1] - first[own] > 1]
+        n = first[own + 1] - first[own]
+        own, n = own[n > 1], n[n > 1]
         if not len(own):
             continue
-        n = first[own + 1] - first[own]
-        flat = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        shared = np.bincount(holders[flat], minlength=len(bags))
+        shared = np.zeros(len(size), np.int64)
+        for some in _portions(n, EXPANDED):
+            m = n[some]
+            flat = np.repeat(first[own[some]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            shared += np.bincount(holders[flat], minlength=len(size))
         # shared / union >= p / q
         linked = (p + q) * shared >= p * (size[i] + size)
-        linked[: i + 1] = False
         if across:
-            linked &= block != block[i]
+            linked &= ~side
+        else:
+            linked[: i + 1] = False
         for j in np.flatnonzero(linked):
-            forest.join(i, int(j))
-    root = np.array([forest.root(i) for i in range(len(bags))], np.int64)
-    child = np.flatnonzero(root != np.arange(len(bags)))
+            forest.join(int(i), int(j))
+    root = np.array([forest.root(i) for i in range(len(size))], np.int64)
+    hub = np.zeros(len(size), bool)
+    hub[root[rows["hub"].to_numpy(bool)]] = True
     t1, t2 = rows["_t1"].to_numpy(), rows["_t2"].to_numpy()
-    return pd.DataFrame({"_t1": t1[child], "_t2": t2[child], "r1": t1[root[child]], "r2": t2[root[child]]})
-
-
-def links(stages: Stages, texts: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between texts of a canopy, in blocks: each two blocks of a large one meet."""
-    sizes = groups.groupBy("canopy").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = groups.join(sizes, "canopy").withColumn("block", F.pmod(F.xxhash64("_t1", "_t2"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("canopy", "_t1", "_t2", "block", "blocks", other)
-    # Within one block or across two: a block meets itself only where it is the only one or on its own.
-    pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    rows = rows.select("canopy", "_t1", "_t2", "block", *pair)
-    held = texts.select("_t1", "_t2", "text").join(rows, ["_t1", "_t2"])
-    found = held.groupBy("canopy", "i", "j").applyInPandas(
-        lambda g: block_links(g), "_t1 BIGINT, _t2 BIGINT, r1 BIGINT, r2 BIGINT"
-    )
+    return pd.DataFrame({"canopy": rows["canopy"], "_t1": t1, "_t2": t2, "r1": t1[root], "r2": t2[root], "near": hub[root]})
+
+
+def links(stages: Stages, texts: DataFrame, groups: DataFrame, signs: DataFrame) -> DataFrame:
+    """Links between texts of a canopy. Its blocks are compared within themselves and with the hub;
+    then texts the hub's class lacks meet all others, again in blocks."""
+    weighed = groups.join(signs.select("_t1", "_t2", "n"), ["_t1", "_t2"])
+    count = lambda: F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / SHINGLES)).cast("int")
+    sizes = stages.write(weighed.filter("NOT hub").groupBy("canopy").agg(count().alias("blocks")), "sizes")
+    dealt = lambda n: F.pmod(F.xxhash64("_t1", "_t2"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = weighed.filter("NOT hub").join(sizes, "canopy").withColumn("block", dealt("blocks"))
+    hubs = groups.filter("hub").join(sizes, "canopy").withColumn("block", every("blocks"))
+    names = ["canopy", "block", "_t1", "_t2", "hub"]
+    first = members.select(*names).unionByName(hubs.select(*names)).withColumn("open", F.lit(False))
+    held = texts.select("_t1", "_t2", "text").join(first, ["_t1", "_t2"])
+    within = stages.write(held.groupBy("canopy", "block").applyInPandas(lambda g: block_links(g), LINKED), "within")
+
+    large = sizes.filter("blocks > 1")
+    left = within.filter("NOT near").select("canopy", "_t1", "_t2").join(large, "canopy").join(signs.select("_t1", "_t2", "n"), ["_t1", "_t2"])
+    opened = left.groupBy("canopy").agg(count().alias("opened"))
+    opened = stages.write(opened, "opened")
+    asking = left.join(opened, "canopy").withColumn("part", dealt("opened")).withColumn("block", every("blocks"))
+    others = members.join(opened, "canopy").withColumn("part", every("opened"))
+    key = ["canopy", "part", "block"]
+    side = lambda df, is_open: df.select(*key, "_t1", "_t2", F.lit(False).alias("hub"), F.lit(is_open).alias("open"))
+    second = side(asking, True).unionByName(side(others, False))
+    held = texts.select("_t1", "_t2", "text").join(second, ["_t1", "_t2"])
+    across = held.groupBy(*key).applyInPandas(lambda g: block_links(g), LINKED)
+    found = within.unionByName(across).filter("_t1 <> r1 OR _t2 <> r2").select("_t1", "_t2", "r1", "r2")
     return stages.write(found.distinct(), "links")
 
 
@@ -279,7 +318,7 @@ def _classes(stages: Stages, docs: DataFrame) -> DataFrame:
     with Texts(docs) as texts:
         signs = stages.write(sign(texts), "signatures")
         groups = canopies(stages, signs)
-        found = links(stages, texts, groups)
+        found = links(stages, texts, groups, signs)
     return components(stages, found)
 
 

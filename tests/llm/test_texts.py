@@ -158,6 +158,53 @@ def test_large_family_in_blocks(spark, monkeypatch):
     assert got == dict(enumerate(label))
 
 
+def test_a_family_of_near_copies_is_read_once(spark, monkeypatch):
+    """Copies of one text, a word or two changed: every text is compared in one block of its canopies."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base)]
+    for i in range(999):
+        words = list(base)
+        words[int(rng.integers(300))] = f"n{i}"
+        texts.append(" ".join(words))
+    written = {}
+    real = near_dedup.Stages.write
+
+    def spy(self, df, name, keep=False):
+        out = real(self, df, name, keep)
+        if name in ("within", "opened", "sizes"):
+            written[name] = out.count()
+            if name == "sizes":
+                written["blocks"] = out.agg(F.sum("blocks")).first()[0]
+        return out
+
+    monkeypatch.setattr(near_dedup.Stages, "write", spy)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    got = {r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {0} and written["blocks"] > written["sizes"]
+    assert written["opened"] == 0  # nobody is left to meet the other blocks
+    # At most once for each band and hub, however many blocks a canopy has.
+    assert written["within"] <= 1000 * near_dedup.BANDS * near_dedup.HUB_ROUNDS + written["blocks"]
+
+
+def test_blocks_of_long_texts_are_bounded():
+    """64 near-equal texts of 20,000 words: what is expanded at a time does not grow with them."""
+    import tracemalloc
+
+    import pandas as pd
+
+    words = [f"w{i % 997}x{i}" for i in range(20_000)]
+    texts = [" ".join([*words[:i], f"n{i}", *words[i:]]) for i in range(24)]
+    rows = pd.DataFrame({"canopy": "c", "_t1": range(24), "_t2": 0, "text": texts, "hub": False, "open": False})
+    near_dedup.block_links(rows.head(2))
+    tracemalloc.start()
+    got = near_dedup.block_links(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got["r1"]) == {0} and peak < 150e6
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     errors = []
