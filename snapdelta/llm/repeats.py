@@ -80,6 +80,8 @@ class Kind:
     tokens: Callable[[str], np.ndarray]
     width: int
     gram: int
+    #: Bits of a context's hash; fewer only show that nothing rests on them.
+    bits: int = 64
 
     def anchors(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         """Packed places, gram hashes and context hashes of a text's anchors."""
@@ -95,7 +97,8 @@ class Kind:
         at = at[first]
         place = pack(at, at - first, at - last)
         context = run_hash(sums, first, last - first + self.width)
-        return place, grams[at], mix(context + place.astype(np.uint64) % np.uint64(1 << 20) * MIX)
+        context = mix(context + place.astype(np.uint64) % np.uint64(1 << 20) * MIX)
+        return place, grams[at], context >> np.uint64(64 - self.bits)
 
 
 def pack(at: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -173,7 +176,7 @@ def classify(stages: Stages, anchors: DataFrame) -> DataFrame:
     rows = rows.join(contexts, ["gram", "context"])
     compare = F.col("mixed") & (~F.col("full") | (F.col("first") == name))
     heavy_ = F.coalesce("heavy", F.lit(False)).alias("heavy")
-    return stages.write(rows.select("_t1", "_t2", "place", "gram", "full", compare.alias("compare"), heavy_), "anchors")
+    return stages.write(rows.select("_t1", "_t2", "place", "gram", "context", "full", compare.alias("compare"), heavy_), "anchors")
 
 
 #: Contexts of one gram that one task compares; grams with more are compared by windows.
@@ -282,9 +285,32 @@ def heavy_windows(stages: Stages, texts: DataFrame, rows: DataFrame, kind: Kind)
     return again.select("_t1", "_t2", F.col("start").alias("low"), F.col("start").alias("high"))
 
 
-def repeated_starts(stages: Stages, texts: DataFrame, kind: Kind, compare: Callable[[Stages, DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Per text the ranges of starts of its repeated windows, as a list."""
+def unlike(stages: Stages, anchors: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``gram, context`` of those whose copies differ in bytes: ``contexts`` has ``data`` for every
+    full anchor. Copies combine before the shuffle, so a context of any number of copies leaves each task once."""
+    both = contexts.groupBy("gram", "context").agg(F.min("data").alias("least"), F.max("data").alias("most"))
+    return stages.write(both.filter("least <> most").select("gram", "context", F.lit(True).alias("unlike")), "unlike")
+
+
+def repeated_starts(
+    stages: Stages,
+    texts: DataFrame,
+    kind: Kind,
+    compare: Callable[[Stages, DataFrame, DataFrame], DataFrame],
+    contexts: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Per text the ranges of starts of its repeated windows, as a list. With ``contexts`` (texts and
+    anchors to ``gram, context, data``) copies of a context are held against each other, and those that
+    only share a hash are compared like any other."""
     anchors = classify(stages, stages.write(find_anchors(texts, kind), "all-anchors"))
+    if contexts is not None:
+        odd = unlike(stages, anchors, contexts(texts, anchors.filter("full")))
+        if not odd.isEmpty():
+            differ = F.col("unlike").isNotNull()
+            anchors = anchors.join(odd, ["gram", "context"], "left").withColumns(
+                {"full": F.col("full") & ~differ, "compare": F.col("compare") | differ}
+            )
+            anchors = stages.write(anchors.drop("unlike"), "anchors-apart")
     at, most, least = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(1023), F.col("place").bitwiseAND(1023)
     full = anchors.filter("full").select("_t1", "_t2", (at - most).alias("low"), (at - least).alias("high"))
     asked = anchors.filter("compare")
@@ -304,6 +330,7 @@ def removal(
     columns: str,
     cut: Callable[[str, np.ndarray], tuple],
     text_col: str = "text",
+    contexts: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``docs`` joined with what ``cut`` gives for each text and its removed tokens."""
     names = [c.split()[0] for c in columns.split(", ")]
@@ -327,7 +354,7 @@ def removal(
             )
 
     with Stages(spark) as stages, Texts(docs, text_col) as texts:
-        starts = repeated_starts(stages, texts, kind, compare)
+        starts = repeated_starts(stages, texts, kind, compare, contexts)
         done = texts.join(starts, ["_t1", "_t2"], "left").select("_t1", "_t2", "text", "copied", "starts")
         result = Stages(spark).write(done.mapInArrow(finish, f"_t1 BIGINT, _t2 BIGINT, {columns}"), "removed", keep=True)
     return keyed(docs, text_col).join(result, ["_t1", "_t2"]).drop("_t1", "_t2")

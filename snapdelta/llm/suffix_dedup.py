@@ -7,10 +7,11 @@ backwards. Common prefixes of sorted neighbours then tell which contexts agree o
 many bytes either way, and a window is repeated if another context agrees on both
 sides of the anchor. These comparisons are of bytes.
 
-Not every repeat needs them. Equal texts are told by a 128-bit key, and a context that
-occurs whole again by the 64-bit hashes of its gram and itself (``repeats.classify``): it
-is removed without a comparison, since copies would otherwise all meet in a bucket. Only
-one copy of it is sorted, where other contexts have its gram.
+Not every repeat needs the sort. Equal texts are told by a 128-bit key. Contexts whose
+gram and whole are again elsewhere are told by hashes first, and all copies of one are then held
+against each other byte by byte, in an aggregation that combines copies before the shuffle, since
+they would otherwise all meet in a bucket. Copies that turn out to differ are
+compared like any other context; of equal ones a single copy is sorted, where other contexts have its gram.
 
 Suffixes with equal leading bytes stay in one bucket up to a bound (``repeats.HEAVY``
 contexts); beyond it their windows are sorted over several buckets by two 64-bit
@@ -148,6 +149,25 @@ def compare(stages: Stages, texts: DataFrame, asked: DataFrame) -> DataFrame:
     return found.repartitionByRange(buckets, F.col("lead")).mapInPandas(search, PAIRS)
 
 
+def whole_contexts(texts: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``gram, context, data``: the bytes around each anchor."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: dict[str, list] = {"gram": [], "context": [], "data": []}
+            for text, found in zip(b.column("text").to_pylist(), b.column("anchors").to_pylist(), strict=True):
+                data = text.encode()
+                for a in found:
+                    at, most, least = a["place"] >> 20, a["place"] >> 10 & 1023, a["place"] & 1023
+                    out["gram"].append(a["gram"])
+                    out["context"].append(a["context"])
+                    out["data"].append(data[at - most : at - least + WIDTH])
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("gram", pa.int64()), ("context", pa.int64()), ("data", pa.binary())]))
+
+    rows = texts.join(gathered(anchors, ["place", "gram", "context"]), ["_t1", "_t2"]).select("text", "anchors")
+    return rows.mapInArrow(cut, "gram BIGINT, context BIGINT, data BINARY")
+
+
 CONTEXT = pa.schema([
     ("lead", pa.binary()), ("_t1", pa.int64()), ("_t2", pa.int64()), ("place", pa.int64()), ("full", pa.bool_()), ("data", pa.binary()),
 ])
@@ -167,15 +187,15 @@ def _cut_text(text: str, gone: np.ndarray) -> tuple[str]:
     return (kept.decode("utf-8", "replace"),)
 
 
-def removed(docs: DataFrame) -> DataFrame:
+def removed(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
     columns = "n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
-    return removal(docs.sparkSession, docs.select("doc_id", "text"), BYTES, compare, columns, _cut).drop("text")
+    return removal(docs.sparkSession, docs.select("doc_id", "text"), kind, compare, columns, _cut, contexts=whole_contexts).drop("text")
 
 
 def kept_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with ``kept``: the text without its repeated bytes."""
-    return removal(docs.sparkSession, docs, BYTES, compare, "kept STRING", _cut_text)
+    return removal(docs.sparkSession, docs, BYTES, compare, "kept STRING", _cut_text, contexts=whole_contexts)
 
 
 __all__ = ["kept_texts", "multikey_quicksort", "removed", "repeats"]

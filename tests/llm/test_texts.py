@@ -1,5 +1,6 @@
 """Operators on documents against brute force."""
 
+import dataclasses
 import hashlib
 import re
 from collections import Counter, defaultdict
@@ -66,6 +67,21 @@ def test_suffix_dedup(corpus, monkeypatch, heavy):
     assert got == want_bytes(corpus)
 
 
+@pytest.mark.parametrize("bits", [1, 8])
+def test_suffix_dedup_does_not_rest_on_hashes(spark, corpus, bits):
+    """Contexts that only share a hash, one or eight bits of it, are told apart by their bytes."""
+    rng = np.random.default_rng(8)
+    shared = "the shared middle of every text, long enough for a gram. " * 2
+    noise = lambda: "".join(rng.choice(list("abcdefghij "), 160))
+    more = [(100 + i, noise() + shared + noise()) for i in range(12)]
+    left = noise() + shared
+    more += [(200 + i, left + noise()) for i in range(4)] + [(300 + i, noise() + shared + "the same end " * 20) for i in range(3)]
+    docs = corpus.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id BIGINT, text STRING"))
+    kind = dataclasses.replace(suffix_dedup.BYTES, bits=bits)
+    got = rows_of(suffix_dedup.removed(docs, kind), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == want_bytes(docs)
+
+
 @pytest.mark.parametrize("heavy", [None, 1])
 def test_substring_dedup(corpus, monkeypatch, heavy):
     if heavy:
