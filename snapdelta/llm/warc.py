@@ -130,7 +130,7 @@ class _Window:
 
     def __init__(self, source, size: int, at: int):
         self.source, self.size = source, size
-        self.at, self.data = at, b""
+        self.at, self.data = at, bytearray()
 
     def more(self) -> bool:
         end = self.at + len(self.data)
@@ -142,7 +142,8 @@ class _Window:
         return bool(got)
 
     def drop(self, to: int) -> None:
-        self.data, self.at = self.data[to - self.at :], to
+        del self.data[: to - self.at]
+        self.at = to
 
 
 def _member(window: _Window) -> tuple[bytes, int] | None:
@@ -202,6 +203,14 @@ def records_in(source, size: int, start: int, end: int) -> Iterator[Record]:
         window.drop(found[1])
 
 
+def lost_records(files: DataFrame, records: DataFrame) -> DataFrame:
+    """``path, records, found`` of the archives of ``write_archives`` in which a reader found fewer (or more)
+    records than were written: damaged members are passed over by :func:`read_archives`, and told here."""
+    found = records.groupBy("path").agg(F.count("*").alias("found"))
+    both = files.select("path", "records").join(found, "path", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    return both.filter("records <> found")
+
+
 COLUMNS = "path STRING, offset BIGINT, record_type STRING, record_id STRING, refers_to STRING, url STRING, payload_digest STRING, payload_bytes BIGINT, payload BINARY"
 
 

@@ -66,6 +66,32 @@ def test_broken_members_are_skipped():
     assert [r.payload for r in got] == [b"payload 0", b"payload 1"]
 
 
+def test_lost_records_are_told(spark):
+    import pathlib
+
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " * 50) for i in range(30)], "page_id BIGINT, url STRING, html STRING")
+    files = warc.write_archives(pages.repartition(2))
+    assert warc.lost_records(files, warc.read_archives(spark, files)).isEmpty()
+    path = pathlib.Path(files.orderBy("path").first()["path"].removeprefix("file:"))
+    data = bytearray(path.read_bytes())
+    at = data.find(warc.MAGIC, 100)
+    data[at + 20 : at + 40] = b"\0" * 20
+    path.write_bytes(bytes(data))
+    path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    lost = warc.lost_records(files, warc.read_archives(spark, files)).collect()
+    assert len(lost) == 1 and lost[0]["records"] - lost[0]["found"] == 1
+
+
+def test_a_large_record_is_read_in_linear_time():
+    import time
+
+    data = warc.member(warc.record(1, "http://x", np.random.default_rng(1).bytes(60_000_000), None, warc.DATE))
+    began = time.process_time()
+    got = list(warc.records_in(io.BytesIO(data), len(data), 0, len(data)))
+    assert len(got) == 1 and len(got[0].payload) == 60_000_000
+    assert time.process_time() - began < 20
+
+
 def exact(rows, k=10):
     ids = np.array([i for i, _ in rows])
     m = np.array([v for _, v in rows], float)
