@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from ..session import delete_path, new_path
 from .common import BASE, MIX, Stages, shuffle_cleanup
 
+#: Tokens of a text whose hashes are held at a time.
+PIECE = 1 << 20
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; tables grow with the longest text met."""
+    """Powers of the base and of its inverse; tables grow with the longest piece met."""
     if not _powers or len(_powers["up"]) <= n:
         size = max(1 << 16, 1 << int(n).bit_length())
         one = np.ones(1, np.uint64)
@@ -77,18 +79,26 @@ def smallest(values: np.ndarray, size: int) -> np.ndarray:
 class Kind:
     """What a token is, and how wide windows and grams are."""
 
+    #: A text's tokens, and their 64-bit codes, made of ``PIECE`` tokens at a time.
     tokens: Callable[[str], np.ndarray]
     width: int
     gram: int
+    codes: Callable[[np.ndarray], np.ndarray] = lambda tokens: tokens
     #: Bits of a context's hash; fewer only show that nothing rests on them.
     bits: int = 64
 
     def anchors(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """Packed places, gram hashes and context hashes of a text's anchors."""
-        codes = self.tokens(text)
-        n = len(codes) - self.width + 1
+        """Packed places, gram hashes and context hashes of a text's anchors. A long text is
+        walked in pieces; a run of windows cut between two is two contexts of one anchor."""
+        tokens = self.tokens(text)
+        n = len(tokens) - self.width + 1
         if n < 1:
             return None
+        found = [self._anchors(self.codes(tokens[at : at + PIECE + self.width - 1]), at) for at in range(0, n, PIECE)]
+        return found[0] if len(found) == 1 else tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _anchors(self, codes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(codes) - self.width + 1
         sums = prefix(codes)
         grams = mix(run_hash(sums, np.arange(len(codes) - self.gram + 1), self.gram))
         at = smallest(grams, self.width - self.gram + 1)
@@ -98,7 +108,7 @@ class Kind:
         place = pack(at, at - first, at - last)
         context = run_hash(sums, first, last - first + self.width)
         context = mix(context + place.astype(np.uint64) % np.uint64(1 << 20) * MIX)
-        return place, grams[at], context >> np.uint64(64 - self.bits)
+        return place + (start << 20), grams[at], context >> np.uint64(64 - self.bits)
 
 
 def pack(at: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -253,7 +263,7 @@ def heavy_windows(stages: Stages, texts: DataFrame, rows: DataFrame, kind: Kind)
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                codes = kind.tokens(row["text"])
+                codes = kind.codes(kind.tokens(row["text"]))
                 sums = prefix(codes)
                 place = np.array([a["place"] for a in row["anchors"]], np.int64)
                 partial = np.array([not a["full"] for a in row["anchors"]])

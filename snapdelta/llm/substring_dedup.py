@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,25 @@ from .repeats import BUCKET, PAIRS, Kind, gathered, mix, powers, prefix, removal
 
 WIDTH = 35
 GRAM = 8
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+PIECE = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 CODES = np.random.default_rng(21).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def word_codes(text: str) -> np.ndarray:
-    """A 64-bit hash of every word, in order."""
-    data = np.frombuffer(text.encode(), np.uint8)
+    """A 64-bit hash of every word, in order; a long text is hashed in pieces that end between words."""
+    data, at, found = text.encode(), 0, []
+    while at < len(data):
+        cut = BLANK.search(data, at + PIECE)
+        end = cut.start() if cut else len(data)
+        found.append(_codes(np.frombuffer(data, np.uint8, end - at, at)))
+        at = end
+    return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, np.uint64), *found])
+
+
+def _codes(data: np.ndarray) -> np.ndarray:
     start, end = run_ends(~SPACE[data])
     sums = prefix(CODES[data])
     _, down = powers(len(sums))

@@ -48,7 +48,7 @@ def raw(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), np.uint8)
 
 
-BYTES = Kind(lambda text: CODES[raw(text)], WIDTH, GRAM)
+BYTES = Kind(raw, WIDTH, GRAM, lambda data: CODES[data])
 
 
 def multikey_quicksort(words: np.ndarray) -> np.ndarray:

@@ -174,6 +174,41 @@ def test_large_family_in_blocks(spark, monkeypatch):
     assert got == dict(enumerate(label))
 
 
+@pytest.mark.parametrize("piece", [37, 211])
+def test_texts_in_pieces(corpus, monkeypatch, piece):
+    """Pieces give the anchors' windows of the whole text, and words the same codes."""
+    docs = [t for _, t in pairs(corpus) if len(t) < 9000]
+    whole = [(substring_dedup.word_codes(t), [k.anchors(t) for k in (suffix_dedup.BYTES, substring_dedup.WORDS)]) for t in docs]
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    monkeypatch.setattr(substring_dedup, "PIECE", piece)
+    spans = lambda found: sorted((p >> 20, before, g) for p, g in zip(found[0].tolist(), found[1].tolist(), strict=True)
+                                 for before in range(p & 1023, (p >> 10 & 1023) + 1))
+    for t, (codes, anchors) in zip(docs, whole, strict=True):
+        assert substring_dedup.word_codes(t).tolist() == codes.tolist()
+        for k, want in zip((suffix_dedup.BYTES, substring_dedup.WORDS), anchors, strict=True):
+            got = k.anchors(t)
+            assert (got is None) == (want is None) and (got is None or spans(got) == spans(want))
+
+
+def test_very_long_texts(spark):
+    """Two texts of 4 MB that share a middle of 2 MB, and one without white space, through the operators on documents."""
+    rng = np.random.default_rng(6)
+    word = [f"w{i}" for i in range(5000)]
+    prose = lambda n: " ".join(word[i] + ("\n" if i % 90 == 0 else "") for i in rng.integers(0, 5000, n))
+    middle = prose(350_000)
+    texts = [f"{prose(330_000)} {middle}", f"{middle} {prose(330_000)}", "é" * 1_500_000, "short one"]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id BIGINT, text STRING, lang STRING, source STRING").repartition(2).cache()
+    got = {r["doc_id"]: r for r in substring_dedup.removed(docs).collect()}
+    assert [got[i]["n_removed"] for i in (0, 1)] == [350_000, 350_000] and got[2]["n_removed"] == 0
+    got = {r["doc_id"]: r for r in suffix_dedup.removed(docs).collect()}
+    least = len(middle.encode())
+    assert all(least <= got[i]["n_removed"] <= least + 400 for i in (0, 1)) and got[2]["n_removed"] == got[2]["n_bytes"]
+    assert {r["class_size"] for r in near_dedup.near_duplicates(docs).collect()} == {1}
+    assert quality_rules.quality_rules(docs).count() == 4
+    packed = packing.packed(docs.filter("doc_id <> 2"), TOKENIZER)
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").isEmpty()
+
+
 def test_a_family_of_near_copies_is_read_once(spark, monkeypatch):
     """Copies of one text, a word or two changed: every text is compared in one block of its canopies."""
     monkeypatch.setattr(near_dedup, "BLOCK", 32)
