@@ -111,6 +111,9 @@ def test_created_tables_show_what_the_jobs_write(spark, tmp_path):
         assert spark.table(name).count() == n
 
 
+# The expected text of warehouse definitions.
+
+
 def test_schema_ddl(spark):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DecimalType(18, 4))])
     assert D.schema_to_ddl(schema, "db.t", ["id"]) == (
