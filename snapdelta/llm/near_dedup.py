@@ -51,9 +51,10 @@ REGISTERS = BANDS * ROWS
 CANOPY, DONE = 0.25, 0.65
 HUB_ROUNDS = 2
 BLOCK = 256
-#: Shingles of a block on average, of texts signed at a time, and of shared ones expanded at a time.
+#: Shingles of a block on average, of texts signed at a time, and shared ones expanded at a time.
 SHINGLES = 1 << 19
-EXPANDED = 1 << 20
+SIGNED_AT = 1 << 16
+EXPANDED = 1 << 18
 
 
 def shingles(text: str) -> np.ndarray:
@@ -119,7 +120,7 @@ def sign(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lengths = pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False)
-            for rows in _portions(np.nan_to_num(lengths) // 6, SHINGLES):  # a word has about six bytes
+            for rows in _portions(np.nan_to_num(lengths) // 6, SIGNED_AT):  # a word has about six bytes
                 part = b.slice(rows[0], len(rows))
                 bags = [shingles(t) for t in part.column("text").to_pylist()]
                 has = np.flatnonzero([len(x) for x in bags])
@@ -275,17 +276,31 @@ def links(stages: Stages, texts: DataFrame, groups: DataFrame, signs: DataFrame)
     held = texts.select("_t1", "_t2", "text").join(first, ["_t1", "_t2"])
     within = stages.write(held.groupBy("canopy", "block").applyInPandas(lambda g: block_links(g), LINKED), "within")
 
-    large = sizes.filter("blocks > 1")
-    left = within.filter("NOT near").select("canopy", "_t1", "_t2").join(large, "canopy").join(signs.select("_t1", "_t2", "n"), ["_t1", "_t2"])
-    opened = left.groupBy("canopy").agg(count().alias("opened"))
-    opened = stages.write(opened, "opened")
-    asking = left.join(opened, "canopy").withColumn("part", dealt("opened")).withColumn("block", every("blocks"))
-    others = members.join(opened, "canopy").withColumn("part", every("opened"))
-    key = ["canopy", "part", "block"]
-    side = lambda df, is_open: df.select(*key, "_t1", "_t2", F.lit(False).alias("hub"), F.lit(is_open).alias("open"))
-    second = side(asking, True).unionByName(side(others, False))
-    held = texts.select("_t1", "_t2", "text").join(second, ["_t1", "_t2"])
-    across = held.groupBy(*key).applyInPandas(lambda g: block_links(g), LINKED)
+    large = sizes.filter("blocks > 1").select("canopy")
+    seen = within.join(large, "canopy").join(signs.select("_t1", "_t2", "n"), ["_t1", "_t2"])
+    seen = seen.select("canopy", "_t1", "_t2", "near", "n")
+    few = seen.groupBy("canopy").agg(F.count_if(~F.col("near")).alias("m"), F.sum(F.when(~F.col("near"), F.col("n"))).alias("w"))
+    few = few.filter("m > 0").select("canopy", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("w") / SHINGLES)).cast("int").alias("opened"))
+    opened = stages.write(few, "opened")
+    seen = seen.join(opened, "canopy").join(sizes, "canopy")
+    # Texts not near the hub meet each other, each two parts once (j < 0 marks no block of the others),
+    # and the blocks of those that are.
+    parts = seen.filter("NOT near").withColumn("part", dealt("opened"))
+    each = parts.withColumn("other", every("opened"))
+    key = ["canopy", "i", "j"]
+    names = [*key, "_t1", "_t2", F.lit(False).alias("hub"), "open"]
+    own = each.withColumns({"i": F.least("part", "other"), "j": -1 - F.greatest("part", "other"), "open": F.col("part") < F.col("other")})
+    asking = parts.withColumn("j", every("blocks")).withColumns({"i": F.col("part"), "open": F.lit(True)})
+    others = seen.filter("near").withColumn("j", dealt("blocks")).withColumn("i", every("opened")).withColumn("open", F.lit(False))
+    held = texts.select("_t1", "_t2", "text").join(
+        own.select(*names).unionByName(asking.select(*names)).unionByName(others.select(*names)), ["_t1", "_t2"]
+    )
+
+    def linked(group: pd.DataFrame) -> pd.DataFrame:
+        found = block_links(group)
+        return found[(found["_t1"] != found["r1"]) | (found["_t2"] != found["r2"])]
+
+    across = held.groupBy(*key).applyInPandas(linked, LINKED)
     found = within.unionByName(across).filter("_t1 <> r1 OR _t2 <> r2").select("_t1", "_t2", "r1", "r2")
     return stages.write(found.distinct(), "links")
 
