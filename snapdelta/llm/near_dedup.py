@@ -50,10 +50,10 @@ REGISTERS = BANDS * ROWS
 #: deviations of either estimate.
 CANOPY, DONE = 0.25, 0.65
 HUB_ROUNDS = 2
-BLOCK = 256
+BLOCK = 1024
 #: Shingles of a block on average, of texts signed at a time, and shared ones expanded at a time.
-SHINGLES = 1 << 19
-SIGNED_AT = 1 << 16
+SHINGLES = 1 << 18
+SIGNED_AT = 1 << 18
 EXPANDED = 1 << 18
 
 
@@ -282,7 +282,10 @@ def links(stages: Stages, texts: DataFrame, groups: DataFrame, signs: DataFrame)
     few = seen.groupBy("canopy").agg(F.count_if(~F.col("near")).alias("m"), F.sum(F.when(~F.col("near"), F.col("n"))).alias("w"))
     few = few.filter("m > 0").select("canopy", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("w") / SHINGLES)).cast("int").alias("opened"))
     opened = stages.write(few, "opened")
-    seen = seen.join(opened, "canopy").join(sizes, "canopy")
+    if opened.isEmpty():
+        return stages.write(_apart(within).distinct(), "links")
+    near = seen.filter("near").groupBy("canopy").agg(count().alias("blocks"))
+    seen = seen.join(opened, "canopy").join(near, "canopy", "left").fillna(0, ["blocks"])
     # Texts not near the hub meet each other, each two parts once (j < 0 marks no block of the others),
     # and the blocks of those that are.
     parts = seen.filter("NOT near").withColumn("part", dealt("opened"))
@@ -290,7 +293,7 @@ def links(stages: Stages, texts: DataFrame, groups: DataFrame, signs: DataFrame)
     key = ["canopy", "i", "j"]
     names = [*key, "_t1", "_t2", F.lit(False).alias("hub"), "open"]
     own = each.withColumns({"i": F.least("part", "other"), "j": -1 - F.greatest("part", "other"), "open": F.col("part") < F.col("other")})
-    asking = parts.withColumn("j", every("blocks")).withColumns({"i": F.col("part"), "open": F.lit(True)})
+    asking = parts.filter("blocks > 0").withColumn("j", every("blocks")).withColumns({"i": F.col("part"), "open": F.lit(True)})
     others = seen.filter("near").withColumn("j", dealt("blocks")).withColumn("i", every("opened")).withColumn("open", F.lit(False))
     held = texts.select("_t1", "_t2", "text").join(
         own.select(*names).unionByName(asking.select(*names)).unionByName(others.select(*names)), ["_t1", "_t2"]
@@ -301,8 +304,11 @@ def links(stages: Stages, texts: DataFrame, groups: DataFrame, signs: DataFrame)
         return found[(found["_t1"] != found["r1"]) | (found["_t2"] != found["r2"])]
 
     across = held.groupBy(*key).applyInPandas(linked, LINKED)
-    found = within.unionByName(across).filter("_t1 <> r1 OR _t2 <> r2").select("_t1", "_t2", "r1", "r2")
-    return stages.write(found.distinct(), "links")
+    return stages.write(_apart(within.unionByName(across)).distinct(), "links")
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    return found.filter("_t1 <> r1 OR _t2 <> r2").select("_t1", "_t2", "r1", "r2")
 
 
 def components(stages: Stages, edges: DataFrame) -> DataFrame:
