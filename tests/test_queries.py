@@ -66,6 +66,12 @@ def test_queries_leave_nothing_staged(spark, monkeypatch):
     assert left_behind(spark) == before
 
 
+def test_sorted_names_returns_every_name_in_order(spark, db):
+    names = [r.c_name for r in entry.queries()["sorted_names"](spark, SF_DIR).collect()]
+    stored = [n for (n,) in db.execute("SELECT c_name FROM customer").fetchall()]
+    assert len(stored) > 40 and names == sorted(stored)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
