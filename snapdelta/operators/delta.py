@@ -214,25 +214,23 @@ def attach_payload(events: DataFrame, cur: DataFrame, prev: DataFrame) -> DataFr
     """
 
     def payload(snapshot: DataFrame, is_after: bool) -> DataFrame:
-        return snapshot.select(*KEYS, "row_hash", "data", F.lit(is_after).alias("is_after"))
+        return snapshot.select(key, "row_hash", "data", F.lit(is_after).alias("is_after"))
 
+    # A missing key is a value like any other, and so it is in a struct; events without a payload stay. Rows meet
+    # by key alone, so that the aggregation finds them where the join has put them.
+    key = F.struct(*KEYS).alias("key")
     wanted = events.drop("data_before", "data_after")
-    sides = F.array(
-        F.struct(F.lit(False).alias("is_after"), F.col("row_hash_before").alias("row_hash")),
-        F.struct(F.lit(True).alias("is_after"), F.col("row_hash_after").alias("row_hash")),
-    )
-    versions = wanted.select("*", F.inline(sides)).alias("v")
     rows = payload(cur, True).unionByName(payload(prev, False)).alias("p")
-    # A missing hash is a value like any other, and events without a payload stay.
-    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*KEYS, "row_hash", "is_after")]
+
+    def data_of(side: str, is_after: Column) -> Column:
+        same = is_after & F.col("p.row_hash").eqNullSafe(F.col(f"row_hash_{side}"))
+        return F.max(F.when(same, F.col("data"))).alias(f"data_{side}")
+
     return (
-        versions.join(rows, same, "left")
-        .select(*[F.col(f"v.{c}").alias(c) for c in wanted.columns], "v.is_after", "p.data")
-        .groupBy(*wanted.columns)
-        .agg(
-            F.max(F.when(~F.col("is_after"), F.col("data"))).alias("data_before"),
-            F.max(F.when(F.col("is_after"), F.col("data"))).alias("data_after"),
-        )
+        wanted.select("*", key)
+        .join(rows, "key", "left")
+        .groupBy("key", *wanted.columns)
+        .agg(data_of("before", ~F.col("is_after")), data_of("after", F.col("is_after")))
         .select(*EVENT_COLUMNS)
     )
 

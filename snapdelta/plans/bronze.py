@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import build_schema, error_text
+from ..functions import build_schema, error_text, primary_key
 from ..operators.aggregates import observed_count
 from ..operators.envelope import to_envelope, with_ingestion_metadata, with_snapshot_hash
 from ..operators.ledger import (
@@ -26,7 +26,7 @@ from ..operators.ledger import (
 from ..schemas import BRONZE_METADATA
 from ..sinks.ddl import schema_to_ddl
 from ..sinks.jdbc import write_jdbc
-from ..sinks.layers import in_stored_order, overwrite_partition
+from ..sinks.layers import overwrite_partition
 from ..sources.jdbc import JdbcSource, read_declared, read_table
 from ..sources.tables import layer_path, read_layer
 from .specs import TableSpec
@@ -80,12 +80,16 @@ def ingest_envelope(
     reader: Reader, spec: TableSpec, base: str, ref_date: str | dt.date, null_safe: bool | None = None
 ) -> int:
     """One table's snapshot of a day as key, hash and JSON payload; returns its rows. The
-    hash sees a value move between NULL columns unless the spec (or ``null_safe``) says no."""
+    hash sees a value move between NULL columns unless the spec (or ``null_safe``) says no.
+
+    Rows of a task are stored in the order of their key, the declared order within a day and table. They are
+    sorted as the source has them: hash and payload would make them several times as wide."""
     safe = spec.null_safe if null_safe is None else null_safe
-    rows = to_envelope(reader(spec), spec.full_name, spec.primary_keys, ref_date, safe)
+    ordered = reader(spec).sortWithinPartitions(primary_key(spec.primary_keys))
+    rows = to_envelope(ordered, spec.full_name, spec.primary_keys, ref_date, safe)
     values = {"ref_date": str(ref_date), "table_name": spec.full_name}
     return write_counted(
-        in_stored_order(rows, "bronze", "snapshot_raw"),
+        rows,
         f"envelope_{spec.name}",
         lambda d: overwrite_partition(d, snapshot_path(base), values),
     )

@@ -20,7 +20,7 @@ from ..operators.ledger import STARTED, SUCCESS, Load, finished_loads, ledger_ro
 from ..operators.quality import validate_schema
 from ..operators.state import STATE_COLUMNS, apply_delta, latest_by_key, maintain_current_state, state_of_arrivals
 from ..schemas import BRONZE_METADATA, CURRENT_STATE, DELTA_EVENTS, KEYS, SNAPSHOT_KEYS, SNAPSHOT_RAW
-from ..session import delete_path, new_path
+from ..session import CODEC, delete_path, new_path
 from ..sinks.buckets import BUCKETS, DIGESTS, changed_buckets, digests, read_buckets, write_buckets
 from ..sinks.layers import align, in_stored_order, overwrite_partition
 from ..sinks.versions import list_names, next_name, read_version, version_names, write_version
@@ -229,8 +229,8 @@ def write_state(
     entries = {t: {**e, **(today if t in set(seen) else {})} for t, e in kept.items()}
     if rows is not None:
         folder = f"version={name}-{uuid.uuid4().hex[:8]}"
-        settled = align(rows, CURRENT_STATE).hint("rebalance", "table_name")
-        settled.sortWithinPartitions("table_name", "is_active", "primary_key").write.partitionBy("table_name").parquet(f"{root}/{folder}")
+        settled = align(rows, CURRENT_STATE).sortWithinPartitions("table_name", "is_active", "primary_key")
+        settled.write.partitionBy("table_name").parquet(f"{root}/{folder}", compression=CODEC)
         written = [unquote(n.removeprefix("table_name=")) for n in list_names(spark, f"{root}/{folder}") if n.startswith("table_name=")]
         entries |= {t: {"folder": folder, **today} for t in written}
     write_version(spark, root, name, {"date": str(day), "tables": entries})
@@ -303,14 +303,18 @@ def process_silver(
     missed += [t for t in first if t in indexed]
     first = [t for t in first if t not in indexed]
     rewritten = [t for t in carried if t in changed]
-    state = []
+    joined, state = [], []
     if rewritten:
         these = F.col("table_name").isin(*rewritten)
-        state.append(apply_delta(read_state_tables(spark, base, entries, rewritten), events.filter(these), day))
+        joined.append(apply_delta(read_state_tables(spark, base, entries, rewritten), events.filter(these), day))
     if missed:
         these = F.col("table_name").isin(*missed)
-        state.append(maintain_current_state(read_state_tables(spark, base, entries, missed), cur.filter(these), day))
-    if first:
+        joined.append(maintain_current_state(read_state_tables(spark, base, entries, missed), cur.filter(these), day))
+    if joined:
+        # Joins leave some rows of every table in every task: several tables are gathered first, one need not move.
+        rows = reduce(DataFrame.unionByName, joined)
+        state.append(rows if len(rewritten) + len(missed) == 1 else rows.hint("rebalance", "table_name"))
+    if first:  # straight from the stored events, which lie by table
         state.append(state_of_arrivals(events.filter(F.col("table_name").isin(*first)), day))
     kept = {t: e for t, e in entries.items() if t not in rewritten and t not in missed}
     write_state(spark, base, day, reduce(DataFrame.unionByName, state) if state else None, kept, carried, stamp)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import column_names
+from ..session import CODEC
 from .versions import list_names
 
 BUCKETS = 64
@@ -34,7 +35,7 @@ def write_buckets(df: DataFrame, path: str, keys: Sequence[str], n: int) -> None
     """Write ``df`` in ``n`` buckets of ``keys``, each a file sorted by them. Rows should be
     unique by key: those of one key share a file."""
     spark, name = df.sparkSession, f"buckets_{uuid.uuid4().hex}"
-    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).options(path=path, compression=CODEC).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MEDALLION, struct_of
-from ..session import delete_path, path_exists, replace_path
+from ..session import CODEC, delete_path, path_exists, replace_path
 from ..sources.tables import layer_path, partition_path
 
 
@@ -73,7 +73,8 @@ def overwrite_partition(df: DataFrame, path: str, values: dict[str, str | dt.dat
     target = partition_path(path, values)
     beside = f"{path.rstrip('/')}{'/_new' if values else '_new'}-{uuid.uuid4().hex}"
     try:
-        df.drop(*values).write.format(format).save(beside)
+        codec = {"compression": CODEC} if format == "parquet" else {}
+        df.drop(*values).write.format(format).options(**codec).save(beside)
         replace_path(df.sparkSession, beside, target)
     finally:
         delete_path(df.sparkSession, beside)

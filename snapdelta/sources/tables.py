@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import as_date, error_text
 from ..operators.envelope import has_columns, rename_project
-from ..session import new_path, path_exists
+from ..session import CODEC, new_path, path_exists
 
 
 def layer_path(base: str, layer: str, source: str, entity: str) -> str:
@@ -63,7 +63,7 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     survives the loss of executors."""
     spark = df.sparkSession
     target = new_path(spark, "stage") if path is None else path
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").parquet(target, compression=CODEC)
     return spark.read.schema(df.schema).parquet(target)
 
 

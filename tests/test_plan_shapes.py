@@ -72,6 +72,33 @@ def test_small_events_fetch_payloads_without_moving_the_rest(stored):
     assert "SortMergeJoin" not in text
 
 
+def test_large_events_and_payloads_meet_in_two_shuffles(stored, no_broadcast):
+    cur, prev, _ = stored
+    events = stage(delta.detect_delta(cur.drop("data"), prev.drop("data"), DAY))
+    filled = delta.attach_payload(events, cur, prev)
+    # The events and both days' payloads; the aggregation after the join adds none.
+    assert shuffles(plan(filled)) == 2 and "SortMergeJoin" in plan(filled)
+    assert sorted(filled.collect()) == sorted(delta.detect_delta(cur, prev, DAY).collect())
+
+
+def test_envelopes_are_sorted_as_the_source_has_them_and_stored_small(spark, tmp_path, monkeypatch):
+    from snapdelta.plans import bronze
+    from snapdelta.plans.specs import TableSpec
+
+    written = []
+    write = bronze.overwrite_partition
+    monkeypatch.setattr(bronze, "overwrite_partition", lambda df, *a: written.append(df) or write(df, *a))
+    source = spark.range(300).selectExpr("CAST(299 - id AS STRING) AS id", "CAST(id AS STRING) AS a").coalesce(1)
+    spec = TableSpec("t", "t", source_type="files", primary_keys=("id",))
+    assert bronze.ingest_envelope(lambda _: source, spec, str(tmp_path), DAY) == 300
+    text = plan(written[0])
+    assert 0 <= text.index("sha2(") < text.index("Sort [")
+    files = list(tmp_path.rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+    keys = [r.primary_key for r in spark.read.parquet(*map(str, files)).collect()]
+    assert keys == sorted(keys) and len(keys) == 300
+
+
 def test_maintaining_state_shares_the_partitioning(stored, no_broadcast):
     cur, _, old = stored
     assert shuffles(plan(state.maintain_current_state(old, cur, DAY))) == 2
