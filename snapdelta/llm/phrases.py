@@ -54,6 +54,8 @@ CELLS, FILLED = 1 << 21, 8
 SLICE = 1 << 25
 #: Codes held unmerged while a tile is merged.
 PENDING = 1 << 22
+#: Packed tiles that are unpacked from a batch at a time.
+UNPACKED = 256
 
 
 def stretches(text: bytes) -> Iterator[list[bytes]]:
@@ -173,6 +175,14 @@ def tile_numbers(codes: np.ndarray, area: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_inverse=True)
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows. Spark fills a batch with many megabytes, and a block or a tile is taken
+    out of it as an object of its own: not all of them at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _slices(codes: np.ndarray, n: int) -> np.ndarray:
     mixed = codes.astype(np.uint64) * MIX
     return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(n)).astype(np.int64)
@@ -184,7 +194,7 @@ TILES = "block BIGINT, lang STRING, lead INT, seq BINARY, tile INT, slice INT, f
 def pair_tiles(batches: Iterator[pa.RecordBatch], size: int, slices: int) -> Iterator[pa.RecordBatch]:
     """Counts of neighbouring numbers of every block, packed by tile and slice, and the block as
     numbers of its own pairs. Place ``i`` stands for the ``size - 1`` words from ``i``."""
-    for batch in batches:
+    for batch in portions(batches, 1):
         for row, mapped in zip(batch.drop_columns("mapped").to_pylist(), batch.column("mapped"), strict=True):
             seq = np.frombuffer(row["seq"], np.int32)
             numbers = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # the last is for -1
@@ -281,7 +291,7 @@ def frequent_pairs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
                 }
             )
 
-    for batch in batches:
+    for batch in portions(batches, UNPACKED):
         for row in batch.to_pylist():
             this = (row["lang"], row["tile"], row["slice"])
             if this != key:
@@ -303,7 +313,7 @@ def block_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """The new numbers of a block's pairs. Comes in order of language, tile and slice, where
     the frequent pairs (no block) stand before the blocks' codes."""
     key, codes, ids, table = None, [], [], None
-    for batch in batches:
+    for batch in portions(batches, UNPACKED):
         out: dict[str, list] = {"block": [], "first": [], "ids": []}
         for lang, tile, part, block, first, packed, code, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (lang, tile, part) != key:

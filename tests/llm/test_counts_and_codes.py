@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 from decimal import Decimal
 
@@ -341,3 +342,28 @@ def test_query_and_sql(spark, name):
     plain = lambda v: int(v) if isinstance(v, Decimal) else v
     want = Counter(tuple(plain(r[names.index(c)]) for c in df.columns) for r in want.fetchall())
     assert want and Counter(tuple(r) for r in df.collect()) == want
+
+
+def test_blocks_of_a_batch_are_unpacked_one_by_one():
+    """A batch holds many blocks; counting one of them must not copy the others."""
+    n, words = 40, 50_000
+    seq = (np.arange(words, dtype=np.int32) * 7919) % 97
+    entry = pa.struct([("first", pa.int32()), ("ids", pa.int64())])
+    mapped = [{"first": i, "ids": i} for i in range(97)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array(["en"] * n), pa.array([0] * n, pa.int32()),
+         pa.array([seq.tobytes()] * n, pa.binary()), pa.array([mapped] * n, pa.list_(entry))],
+        names=["block", "lang", "lead", "seq", "mapped"])
+    tracemalloc.start()
+    tiles = phrases.pair_tiles(iter([batch]), 2, 1)
+    first = next(tiles).to_pylist()
+    copied = sum(t.size for t in tracemalloc.take_snapshot().traces if t.size == seq.nbytes + 33)
+    tracemalloc.stop()
+    assert copied <= 3 * (seq.nbytes + 33) < n * seq.nbytes
+    rest = [t.to_pylist() for t in tiles]
+    assert len(rest) == n - 1
+    pairs = Counter(zip(seq[:-1].tolist(), seq[1:].tolist()))
+    for out in (first, *rest):
+        counts = sum(np.frombuffer(r["counts"], np.uint32).sum() for r in out if r["counts"] is not None)
+        codes = sum(len(r["codes"]) // 4 for r in out if r["codes"] is not None)
+        assert (counts, codes) == (words - 1, len(pairs))
